@@ -11,7 +11,8 @@ MAX_IP = 4294967295
 # dots; each part is decimal, octal (leading 0) or hexadecimal (leading 0x).
 _PART = r"(?:0[xX][0-9a-fA-F]+|0[0-7]*|[1-9][0-9]*)"
 _ADDRESS = rf"^{_PART}(?:\.{_PART}){{0,3}}$"
-_DOTTED_QUAD = r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$"
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_DOTTED_QUAD = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
 # Text after the first of these blanks is ignored by the C library.
 _BLANKS = r"[ \t\n\x0B\f\r]"
 
@@ -29,39 +30,36 @@ def _right(c: Column, bits: Column) -> Column:
 
 
 def _quad_value(text: Column) -> Column:
+    """Value of a plain dotted quad. Nothing is conditional but the last term, so Spark
+    splits the text once."""
     parts = F.split(text, r"\.")
-    p = [F.get(parts, F.lit(i)).cast("bigint") for i in range(4)]
-    in_range = (p[0] < 256) & (p[1] < 256) & (p[2] < 256) & (p[3] < 256)
-    return F.when(in_range, p[0] * 16777216 + p[1] * 65536 + p[2] * 256 + p[3])
+    p = [F.get(parts, F.lit(i)).try_cast("smallint").cast("bigint") for i in range(4)]
+    valid = F.when(text.rlike(_DOTTED_QUAD), F.lit(0).cast("bigint"))
+    return p[0] * 16777216 + p[1] * 65536 + p[2] * 256 + p[3] + valid
 
 
 def _part_value(part: Column) -> Column:
-    hexadecimal = F.conv(F.substring(part, 3, 64), 16, 10)
-    octal = F.conv(part, 8, 10)
-    decimal = F.conv(part, 10, 10)
-    text = (
-        F.when(part.rlike("^0[xX]"), hexadecimal).when(part.startswith("0"), octal).otherwise(decimal)
-    )
-    return text.try_cast("bigint")
+    base = F.when(part.rlike("^0[xX]"), 16).when(part.startswith("0"), 8).otherwise(10)
+    digits = F.regexp_replace(part, "^(?:0[xX])?0*(?=.)", "")
+    # Eleven octal digits hold 32 bits; longer text is out of range in any base.
+    return F.when(F.length(digits) <= 11, F.call_function("conv", digits, base, F.lit(10)).try_cast("bigint"))
+
+
+def _weighted(values: Column) -> Column:
+    """Leading parts are one byte each, the last one fills the remaining bytes."""
+    n = F.size(values)
+    last = F.element_at(values, -1)
+    leading = F.slice(values, F.lit(1), n - 1)
+    room = _left(F.lit(1).cast("bigint"), F.lit(40) - n * 8)
+    head = F.aggregate(leading, F.lit(0).cast("bigint"), lambda total, byte: total * 256 + byte)
+    fits = F.forall(leading, lambda byte: byte < 256) & (last < room)
+    return F.when(fits, head * room + last)
 
 
 def _general_value(text: Column) -> Column:
-    parts = F.split(text, r"\.")
-    n = F.size(parts)
-    p = [_part_value(F.get(parts, F.lit(i))) for i in range(4)]
-    byte = [x.between(0, 255) for x in p]
-    return (
-        F.when((n == 1) & p[0].between(0, MAX_IP), p[0])
-        .when((n == 2) & byte[0] & p[1].between(0, 16777215), p[0] * 16777216 + p[1])
-        .when(
-            (n == 3) & byte[0] & byte[1] & p[2].between(0, 65535),
-            p[0] * 16777216 + p[1] * 65536 + p[2],
-        )
-        .when(
-            (n == 4) & byte[0] & byte[1] & byte[2] & byte[3],
-            p[0] * 16777216 + p[1] * 65536 + p[2] * 256 + p[3],
-        )
-    )
+    head = F.get(F.split(text, _BLANKS, 2), F.lit(0))
+    values = F.transform(F.split(F.when(head.rlike(_ADDRESS), head), r"\."), _part_value)
+    return F.get(F.transform(F.array(values), _weighted), F.lit(0))
 
 
 def ip_to_int(ip: Column | str, strict: bool = False) -> Column:
@@ -69,16 +67,11 @@ def ip_to_int(ip: Column | str, strict: bool = False) -> Column:
 
     ``strict`` accepts plain dotted quads only. Otherwise the C library's whole
     grammar is accepted: short forms, octal and hex parts, trailing text after a
-    blank. Dotted quads are tested first, so the common case stays cheap.
+    blank. That part only runs for text that is no plain dotted quad.
     """
     text = _col(ip).cast("string")
-    quad = F.when(text.rlike(_DOTTED_QUAD), _quad_value(text))
-    if strict:
-        return quad
-    head = F.get(F.split(text, _BLANKS, 2), F.lit(0))
-    return F.when(text.rlike(_DOTTED_QUAD), _quad_value(text)).when(
-        head.rlike(_ADDRESS), _general_value(head)
-    )
+    quad = _quad_value(text)
+    return quad if strict else F.coalesce(quad, _general_value(text))
 
 
 def int_to_ip(value: Column | str) -> Column:

@@ -41,37 +41,19 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def float_text(value: Column) -> Column:
-    """DOUBLE to the text Python prints.
+def coordinate_text(value: Column) -> Column:
+    """DOUBLE below 1e7 to the text Python prints.
 
-    Java switches to exponents below 1e-3 and from 1e7 on, Python below 1e-4 and
-    from 1e16 on; the digits themselves agree.
+    Java switches to exponents below 1e-3, Python below 1e-4 and with two exponent
+    digits; the digits themselves agree.
     """
     v = value.cast("double")
     java = v.cast("string")
-    size = F.abs(v)
-
-    def without_zeros(decimal_type: str) -> Column:
-        return F.rtrim(java.try_cast(decimal_type).cast("string"), F.lit("0"))
-
-    mantissa = F.regexp_replace(F.substring_index(java, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(java, "E", -1).try_cast("int")
-    sign = F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+"))
-    scientific = F.concat(mantissa, sign, F.lpad(F.abs(exponent).cast("string"), 2, "0"))
-    scientific = F.when(F.abs(exponent) < 100, scientific).otherwise(
-        F.concat(mantissa, sign, F.abs(exponent).cast("string"))
-    )
-    large = without_zeros("decimal(38,10)")
-    return (
-        F.when((v == 0) | ((size >= 1e-3) & (size < 1e7)), java)
-        .when((size >= 1e-4) & (size < 1e-3), without_zeros("decimal(38,24)"))
-        .when((size >= 1e7) & (size < 1e16), F.when(large.endswith("."), F.concat(large, F.lit("0"))).otherwise(large))
-        .when(java.contains("E"), scientific)
-        .when(F.isnan(v), F.lit("nan"))
-        .otherwise(F.when(v > 0, F.lit("inf")).when(v < 0, F.lit("-inf")))
-    )
+    short = F.rtrim(java.try_cast("decimal(38,24)").cast("string"), F.lit("0"))
+    tiny = F.regexp_replace(F.regexp_replace(java, r"(?:\.0)?E-([0-9])$", "e-0$1"), r"(?:\.0)?E", "e")
+    return F.when((v == 0) | (F.abs(v) >= 1e-3), java).when(F.abs(v) >= 1e-4, short).otherwise(tiny)
 
 
 def location_text(lat: Column, lon: Column) -> Column:
     """``lat,lon`` text of a point; null when either is missing."""
-    return F.concat(float_text(lat), F.lit(","), float_text(lon))
+    return F.concat(coordinate_text(lat), F.lit(","), coordinate_text(lon))

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayline.functions.text import location_text
+from wayline.operators.sizing import hinted
 
 # Sums of coordinates run in DECIMAL, so the centroid does not depend on row order.
 _COORDINATE = "decimal(28,12)"
+# Over how many partitions the rows of one key spread.
+SALTS = 16
 
 
 def first_match(
@@ -27,7 +30,8 @@ def first_match(
     The representative point is the point nearest to the centroid (planar, duplicates
     count, lowest id on ties). That takes two aggregations, both with map-side partial
     results, so a key holding most of the rows sends one row per task. The second one
-    covers only keys with several rows.
+    covers only keys with several rows; it meets the centroids on (key, salt), so the
+    rows of one key spread over tasks.
     """
     keys = list(keys)
     point = F.col(lat).isNotNull() & F.col(lon).isNotNull()
@@ -38,15 +42,19 @@ def first_match(
         total[0].alias("_sum_lat"),
         total[1].alias("_sum_lon"),
     )
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     centroid = first.where("_points > 1").select(
         *keys,
+        salts,
         (F.col("_sum_lat").cast("double") / F.col("_points")).alias("_center_lat"),
         (F.col("_sum_lon").cast("double") / F.col("_points")).alias("_center_lon"),
     )
     d_lat, d_lon = F.col(lat) - F.col("_center_lat"), F.col(lon) - F.col("_center_lon")
     distance = d_lat * d_lat + d_lon * d_lon
+    salt = F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
     nearest = (
-        rows.where(point).join(centroid, keys).groupBy(*keys)
+        rows.where(point).select(*keys, lat, lon, row_id, salt.alias("_salt"))
+        .join(centroid, [*keys, "_salt"]).groupBy(*keys)
         .agg(
             F.min_by(
                 F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon")),
@@ -54,14 +62,13 @@ def first_match(
             ).alias("_near")
         )
     )
-    location = location_text(F.col("_first._lat"), F.col("_first._lon"))
-    middle = location_text(F.col("_near.lat"), F.col("_near.lon"))
-    return first.join(nearest, keys, "left").select(
+    answers = first.join(nearest, keys, "left").select(
         *keys,
         *[F.col("_first").getField(a).alias(a) for a in attributes],
-        location.alias("location"),
-        F.coalesce(middle, location).alias("representative_point"),
+        location_text(F.col("_first._lat"), F.col("_first._lon")).alias("location"),
+        location_text(F.col("_near.lat"), F.col("_near.lon")).alias("_middle"),
     )
+    return answers.withColumn("representative_point", F.coalesce("_middle", "location")).drop("_middle")
 
 
 def attach(
@@ -78,8 +85,6 @@ def attach(
     ``on`` pairs probe expressions with table columns. A probe column of the same name
     is overwritten where the lookup hits and kept where it misses.
     """
-    from wayline.operators.sizing import hinted
-
     keyed = probe.withColumns({f"_p{i}": c for i, (c, _) in enumerate(on)}) if on else probe
     side = table.select(
         *[F.col(k).alias(f"_k{i}") for i, (_, k) in enumerate(on)],

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wayline.operators.first_match import attach, first_match
 from wayline.operators.sizing import is_small
+from wayline.scratch import stored
 
 MAX_KEYS = 4
 
@@ -119,15 +120,14 @@ def lookup_any(
 ) -> DataFrame:
     """Left lookup where one matching key is enough.
 
-    Works on the distinct key tuples. A table row that matches a tuple through several
+    Works on the distinct key tuples, which are stored. A table row that matches a tuple through several
     keys is counted once: the join on one key leaves out rows that an earlier key
     already brought. Matches feed the partial aggregation directly.
     """
     keys = _checked(spec, on)
     values = [_probe_key(on[k]) for k in keys]
-    tuples = (
-        probe.select(*[F.coalesce(v, F.lit("\u0000")).alias(f"_q{i}") for i, v in enumerate(values)]).distinct()
-    )
+    wanted = [F.coalesce(v, F.lit("\u0000")).alias(f"_q{i}") for i, v in enumerate(values)]
+    tuples = stored(probe.select(*wanted).distinct(), "asked_keys")
     needed = list(dict.fromkeys([*spec.attributes, *keys, spec.lat, spec.lon, spec.row_id]))
     rows = table.select(*needed)
     parts = []

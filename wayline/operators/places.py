@@ -5,7 +5,7 @@ A term is ``column:word`` or, for a word in any column, ``*:word``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wayline.functions.text import words
 from wayline.operators.first_match import attach, first_match
+from wayline.scratch import stored
 from wayline.sources.tables import PLACE_COLUMNS
 
 # Output attributes of the place table.
@@ -41,12 +42,13 @@ class PlaceIndex:
     answers: DataFrame | None = None
 
 
+def _prefixed(prefix: str) -> Callable[[Column], Column]:
+    return lambda word: F.concat(F.lit(prefix), word)
+
+
 def place_rows(places: DataFrame, columns: tuple[str, ...] = PLACE_COLUMNS) -> DataFrame:
     """Add the distinct ``terms`` of each row; numbers are indexed as text."""
-    per_column = [
-        F.flatten(F.transform(words(F.col(c)), lambda w, c=c: F.array(F.concat(F.lit(c + ":"), w), F.concat(F.lit("*:"), w))))
-        for c in columns
-    ]
+    per_column = [F.transform(words(F.col(c)), _prefixed(p)) for c in columns for p in (f"{c}:", "*:")]
     return places.withColumn("terms", F.array_distinct(F.concat(*per_column)))
 
 
@@ -173,13 +175,16 @@ def lookup_place(
     """Left lookup by words. ``on`` maps place columns to probe columns; an unknown
     column, or '', searches every column. ``op`` joins the conditions: AND, OR or NOT
     (the first without the others).
+
+    The probe is read twice: once for its distinct queries, which are stored, and once
+    to attach their answers.
     """
     if op not in ("AND", "OR", "NOT"):
         raise ValueError(f"unknown operator {op!r}")
     if not on:
         raise ValueError("no lookup key given")
     query = query_text(on, op, scope)
-    asked = probe.select(query.alias("_query")).where(F.col("_query").isNotNull()).distinct()
+    asked = stored(probe.select(query.alias("_query")).dropna().distinct(), "asked_places")
     answers = place_answers(asked, index, op).withColumn("country_name", F.lit(None).cast("string"))
     return attach(probe, answers, [(query, "_query")], [*OUTPUT, "country_name"], prefix, small=False)
 

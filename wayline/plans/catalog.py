@@ -21,7 +21,7 @@ from wayline.plans import fixtures as fx
 from wayline.plans import tables as table_builds
 from wayline.plans.import_job import LookupTables, import_documents, import_lines
 from wayline.plans.report import load_report
-from wayline.scratch import shared_folder
+from wayline.scratch import shared_folder, stored
 from wayline.sources.lines import generate_lines, scan_lines
 from wayline.sources.tables import (
     COUNTRY_COLUMNS,
@@ -332,7 +332,8 @@ def geo_range_by_key(spark, sf_dir):
 
 
 def _ranges(spark: SparkSession, sf_dir: str, mode: str = "inclusive", **limits) -> range_ops.RangeTable:
-    return range_ops.prepare_ranges(range_ops.ip_range_table(fx.raw_ranges(spark, sf_dir)), mode=mode, **limits)
+    table = stored(range_ops.ip_range_table(fx.raw_ranges(spark, sf_dir)), "ip_ranges")
+    return range_ops.prepare_ranges(table, mode=mode, **limits)
 
 
 @query
@@ -375,7 +376,9 @@ def cidr_join(spark, sf_dir):
 
 def _place_query(on: dict[str, str], op: str = "AND", scope: str = "first_token") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        index = place_ops.place_index(fx.places(spark, sf_dir))
+        rows = stored(place_ops.place_rows(fx.places(spark, sf_dir)), "place_rows")
+        postings = place_ops.place_postings(rows)
+        index = place_ops.PlaceIndex(rows, postings, stored(place_ops.term_frequency(postings), "term_frequency"))
         return place_ops.lookup_place(fx.place_probes(spark, sf_dir), index, on, op, scope)
 
     return run
