@@ -119,7 +119,11 @@ def _holds(terms: Column, condition: Column) -> Column:
 
 def _matches(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
     """Places matching each query of several terms: candidates come from the rarest
-    term of a condition, the other terms are checked on the place row."""
+    term of a condition, the other terms are checked on the place row.
+
+    OR takes a place from its first matching condition only; NOT takes the first
+    condition's places and leaves out those another condition matches.
+    """
     conditions = F.transform(F.split("_query", r"\|"), lambda c: F.split(c, " "))
     parsed = queries.withColumn("_conditions", conditions)
     numbered = parsed.select("_query", F.posexplode("_conditions").alias("_number", "_terms"))
@@ -133,17 +137,19 @@ def _matches(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
         .agg(F.min_by("term", F.struct("n", "term")).alias("term"), F.count(F.lit(1)).alias("_known"))
         .where("_known = _size").select("_query", "_number", "term")
     )
-    candidates = rarest.join(index.postings, "term").select("_query", "_number", "row_id")
-    rows = candidates.join(index.rows, "row_id").withColumn("_conditions", conditions)
-    own = _holds(F.col("terms"), F.element_at("_conditions", F.col("_number") + 1))
-    if op == "AND":
-        matching = own
-    elif op == "OR":
-        earlier = F.slice("_conditions", F.lit(1), F.col("_number"))
-        matching = own & ~F.exists(earlier, lambda c: _holds(F.col("terms"), c))
-    else:
-        others = F.slice("_conditions", F.lit(2), F.greatest(F.size("_conditions") - 1, F.lit(0)))
-        matching = own & ~F.exists(others, lambda c: _holds(F.col("terms"), c))
+    at = F.col("_number")
+    checks = rarest.withColumn("_conditions", conditions).select(
+        "_query",
+        "term",
+        F.element_at("_conditions", at + 1).alias("_wanted"),
+        (F.slice("_conditions", F.lit(1), at) if op == "OR" else F.slice("_conditions", F.lit(2), F.size("_conditions")))
+        .alias("_unwanted"),
+    )
+    candidates = checks.join(index.postings, "term").drop("term")
+    rows = candidates.join(index.rows, "row_id")
+    matching = _holds(F.col("terms"), F.col("_wanted"))
+    if op != "AND":
+        matching = matching & ~F.exists("_unwanted", lambda c: _holds(F.col("terms"), c))
     return rows.where(matching)
 
 
