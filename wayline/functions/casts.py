@@ -8,47 +8,54 @@ from pyspark.sql import functions as F
 # Declared types that are parsed as numbers.
 NUMERIC_TYPES = ("integer", "long", "date", "float")
 
-# Decimal number text as Python's float() accepts it.
-_DIGITS = r"[0-9]+(?:_[0-9]+)*"
-_NUMBER = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
-_NOT_FINITE = r"^[+-]?(?:inf|infinity|nan)$"
-
 # Every character Python's str.rstrip() removes.
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
+# Decimal number text as Python's float() accepts it, blanks around it
+# included. Possessive, so junk after many digits fails at once.
+_BLANKS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]*+"
+_DIGITS = r"[0-9]++(?:_[0-9]++)*+"
+_NUMBER = rf"^{_BLANKS}[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?{_BLANKS}$"
+_NOT_FINITE = rf"^{_BLANKS}[+-]?(?:inf|infinity|nan){_BLANKS}$"
+
+
 def strip_right(text: Column) -> Column:
     """Drop all trailing whitespace. Linear in the text, unlike a ``\\s+$`` pattern."""
     return F.rtrim(text, F.lit(WHITESPACE))
 
 
-def _strip(text: Column) -> Column:
-    return F.trim(text, F.lit(WHITESPACE))
-
-
 def is_nan_or_inf(value: Column) -> Column:
     """True for NaN and both infinities, null for null."""
     v = value.cast("double")
     return F.isnan(v) & v.isNotNull() | (F.abs(v) == F.lit(float("inf")))
 
 
+def _number(text: Column) -> Column:
+    """Spark's own cast, and again without underscores and unusual blanks if that fails."""
+    plain = F.translate(text, "_" + WHITESPACE, "").try_cast("double")
+    return F.coalesce(text.try_cast("double"), plain)
+
+
 def to_float(text: Column) -> Column:
     """Text to DOUBLE with Python's number grammar; null when it is not a number.
 
     Spark's own cast also takes ``1d``, ``1.0f`` and hexadecimal text and refuses
     digit underscores, so a pattern guards it.
     """
-    t = _strip(text)
-    number = F.when(t.rlike(_NUMBER), F.translate(t, "_", "").try_cast("double"))
-    special = F.when(F.lower(t).rlike(_NOT_FINITE), t.try_cast("double"))
-    return F.coalesce(number, special)
+    special = F.lower(text).rlike(_NOT_FINITE)
+    return F.when(text.rlike(_NUMBER) | special, _number(text))
 
 
 def finite(text: Column) -> Column:
-    """Text to a finite DOUBLE; null for '', non-numbers, NaN and infinities."""
-    t = _strip(text)
-    value = F.when(t.rlike(_NUMBER), F.translate(t, "_", "").try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    """Text to a finite DOUBLE; null for '', non-numbers, NaN and infinities.
+
+    Written without branches around the number, so Spark computes it once:
+    multiplying by zero turns an infinity into NaN, which becomes null.
+    """
+    value = _number(text)
+    valid = F.when(text.rlike(_NUMBER), F.lit(0.0))
+    return F.nanvl(value + value * 0.0 + valid, F.lit(None).cast("double"))
 
 
 def to_date_ms(text: Column, in_seconds: bool = False) -> Column:
@@ -81,7 +88,7 @@ def cast_text(text: Column, declared: str, dates_in_seconds: bool = False, exact
     if declared == "long":
         via_double = finite(text).try_cast("bigint")
         if exact_long:
-            return F.coalesce(_strip(text).try_cast("bigint"), via_double)
+            return F.coalesce(text.try_cast("bigint"), via_double)
         return via_double
     if declared == "float":
         return finite(text)
@@ -90,9 +97,4 @@ def cast_text(text: Column, declared: str, dates_in_seconds: bool = False, exact
 
 def is_bad_number(text: Column, parsed: Column) -> Column:
     """True when non-empty text did not parse, NaN and infinities aside."""
-    return (
-        text.isNotNull()
-        & (text != "")
-        & parsed.isNull()
-        & ~F.lower(_strip(text)).rlike(_NOT_FINITE)
-    )
+    return parsed.isNull() & (text != "") & ~F.lower(text).rlike(_NOT_FINITE)

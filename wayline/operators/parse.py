@@ -15,6 +15,7 @@ from wayline.functions.casts import (
     seconds_text_to_ms,
     strip_right,
 )
+from wayline.sources.lines import POSITION
 
 LINE = "_line"
 REASON = "_reject_reason"
@@ -49,7 +50,7 @@ def parse_lines(
     too many fields, or without one of the ``required`` columns, carries a reason in
     ``_reject_reason``. Other input columns are kept.
     """
-    kept = [c for c in lines.columns if c not in (value, "_metadata")]
+    kept = [c for c in lines.columns if c not in (value, POSITION)]
     clash = set(kept + [LINE, REASON, BAD_FIELDS]) & set(columns)
     if clash:
         raise ValueError(f"declared columns collide with input columns: {sorted(clash)}")
@@ -58,7 +59,9 @@ def parse_lines(
     reason = F.when(F.size(fields) > len(columns), F.lit("too many fields")).when(
         F.size(fields) < needed, F.lit("missing id field")
     )
-    split = lines.select(*kept, F.col(value).alias(LINE), split_line(F.col(value), separator).alias("_fields"))
+    # The one-element explode keeps filters on the fields from repeating the split.
+    once = F.explode(F.array(split_line(F.col(value), separator))).alias("_fields")
+    split = lines.select(*kept, F.col(value).alias(LINE), once)
     return split.select(
         *kept,
         *[F.get(fields, F.lit(i)).alias(c) for i, c in enumerate(columns)],
@@ -78,21 +81,17 @@ def cast_columns(
     A value that does not parse becomes null; its row is kept.
     """
     casts = {
-        c: cast_text(F.col(f"`{c}`"), t, dates_in_seconds, exact_long).alias(c)
+        c: cast_text(F.col(f"`{c}`"), t, dates_in_seconds, exact_long)
         for c, t in types.items()
         if c in parsed.columns
     }
-    numeric = [c for c in casts if types[c] in NUMERIC_TYPES]
-    bad = F.array_compact(
-        F.array(
-            *[
-                F.when(is_bad_number(F.col(f"`{c}`"), cast_text(F.col(f"`{c}`"), types[c], dates_in_seconds, exact_long)), F.lit(c))
-                for c in numeric
-            ]
-        )
-    ) if numeric else F.array().cast("array<string>")
+    failed = [
+        F.when(is_bad_number(F.col(f"`{c}`"), cast), F.lit(c)) for c, cast in casts.items() if types[c] in NUMERIC_TYPES
+    ]
+    none = F.array(F.lit(None).cast("string"))
+    bad = F.array_except(F.array(*failed), none) if failed else F.array().cast("array<string>")
     return parsed.select(
-        *[casts.get(c, F.col(f"`{c}`")) for c in parsed.columns if c != BAD_FIELDS], bad.alias(BAD_FIELDS)
+        *[casts.get(c, F.col(f"`{c}`")).alias(c) for c in parsed.columns if c != BAD_FIELDS], bad.alias(BAD_FIELDS)
     )
 
 

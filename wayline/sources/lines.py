@@ -8,16 +8,28 @@ from pyspark.sql import functions as F
 UNDECODABLE = "\ufffd"
 
 
+# Where a row was read: file and split offset. Only there when asked for.
+POSITION = "_position"
+
+
 def _clean(value: Column) -> Column:
-    return F.translate(value, UNDECODABLE, "")
+    return F.when(value.contains(UNDECODABLE), F.translate(value, UNDECODABLE, "")).otherwise(value)
+
+
+def read_position() -> Column:
+    """Position struct of a file scan."""
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")
+    ).alias(POSITION)
 
 
 def scan_lines(spark: SparkSession, path: str | list[str], skip_header: bool = False, stream: bool = False,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: int | None = None, positions: bool = False) -> DataFrame:
     """Lines of text files as column ``value``; bytes that are not UTF-8 are dropped.
 
     With ``skip_header`` the first line of each file is left out, and so are blank
-    lines. The text stays whole: no quoting, no escaping.
+    lines. The text stays whole: no quoting, no escaping. ``positions`` adds what
+    :func:`with_order` needs.
     """
     reader = spark.readStream if stream else spark.read
     if stream and max_files_per_trigger:
@@ -32,22 +44,18 @@ def scan_lines(spark: SparkSession, path: str | list[str], skip_header: bool = F
         lines = reader.csv(path)
     else:
         lines = reader.text(path)
-    return lines.select(_clean(F.col("value")).alias("value"), F.col("_metadata"))
+    return lines.select(_clean(F.col("value")).alias("value"), *([read_position()] if positions else []))
 
 
-def with_order(lines: DataFrame, name: str = "seq") -> DataFrame:
-    """Add the position of each row in its input: file, split offset, row counter.
+def with_order(rows: DataFrame, name: str = "seq") -> DataFrame:
+    """Add the order of each row in its input: file, split offset, row counter.
 
     The struct compares in file order and holds the same order however the splits
     are spread over tasks. Batch only, since it counts rows.
     """
-    order = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    kept = [c for c in lines.columns if c != "_metadata"]
-    return lines.select(*kept, order.alias(name))
+    order = F.struct(f"{POSITION}.file", f"{POSITION}.split", F.monotonically_increasing_id().alias("row"))
+    kept = [c for c in rows.columns if c != POSITION]
+    return rows.select(*kept, order.alias(name))
 
 
 def generate_lines(ids: DataFrame, id_column: str = "id", start_ms: int = 1509750000000, separator: str = ";") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from wayline.functions.casts import strip_right
 from wayline.functions.ip import ip_to_int
+from wayline.sources.lines import read_position
 
 # Field texts that mean "missing". NA is data: it is a country code.
 MISSING = (
@@ -40,14 +41,14 @@ def read_table(spark: SparkSession, path: str | list[str], columns: tuple[str, .
     """Headerless quoted CSV, gzip or plain, with upper-case text and typed numbers.
 
     Every column is read as text first, so the missing-value list is applied before
-    any cast. ``_metadata`` is kept for :func:`wayline.sources.lines.with_order`.
+    any cast. Row positions are kept for :func:`wayline.sources.lines.with_order`.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     raw = (
         spark.read.schema(schema).option("sep", separator).option("quote", '"').option("escape", '"')
         .option("encoding", "UTF-8").option("maxCharsPerColumn", -1).csv(path)
     )
-    return raw.select(*[_value(c) for c in columns], F.col("_metadata"))
+    return raw.select(*[_value(c) for c in columns], read_position())
 
 
 def read_countries(spark: SparkSession, path: str | list[str]) -> DataFrame:

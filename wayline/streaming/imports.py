@@ -17,8 +17,8 @@ from wayline.sources.lines import scan_lines, with_order
 
 
 def stream_lines(spark: SparkSession, path: str, skip_header: bool = False, max_files: int | None = None) -> DataFrame:
-    """Lines of files dropped into a directory."""
-    return scan_lines(spark, path, skip_header, stream=True, max_files_per_trigger=max_files)
+    """Lines of files dropped into a directory, with their positions."""
+    return scan_lines(spark, path, skip_header, stream=True, max_files_per_trigger=max_files, positions=True)
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, format: str = "parquet", once: bool = False) -> StreamingQuery:
