@@ -23,6 +23,7 @@ def first_match(
     lat: str = "latitude",
     lon: str = "longitude",
     row_id: str = "row_id",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key: attributes and ``location`` of the row with the lowest id, and
     the ``representative_point`` of all rows.
@@ -32,12 +33,19 @@ def first_match(
     results, so a key holding most of the rows sends one row per task. The second one
     covers only keys with several rows; it meets the centroids on (key, salt), so the
     rows of one key spread over tasks.
+
+    When many rows fall on a key, pass the table they come from as ``source``: the first
+    pass then only finds the lowest id, by hash, and fetches that row's attributes.
     """
     keys = list(keys)
     point = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     total = [F.sum(F.when(point, F.col(c).cast("double").try_cast(_COORDINATE))) for c in (lat, lon)]
+    if source is None:
+        found = F.min_by(F.struct(*attributes, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")), F.col(row_id))
+    else:
+        found = F.min(row_id)
     first = rows.groupBy(*keys).agg(
-        F.min_by(F.struct(*attributes, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")), F.col(row_id)).alias("_first"),
+        found.alias("_first"),
         F.count(F.when(point, F.lit(1))).alias("_points"),
         total[0].alias("_sum_lat"),
         total[1].alias("_sum_lon"),
@@ -62,6 +70,10 @@ def first_match(
             ).alias("_near")
         )
     )
+    if source is not None:
+        row = F.struct(*attributes, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
+        fetched = source.select(F.col(row_id).alias("_row_id"), row.alias("_row"))
+        first = first.join(fetched, F.col("_first") == F.col("_row_id")).withColumn("_first", F.col("_row"))
     answers = first.join(nearest, keys, "left").select(
         *keys,
         *[F.col("_first").getField(a).alias(a) for a in attributes],

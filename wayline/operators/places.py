@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayline.functions.text import words
-from wayline.operators.first_match import attach, first_match
+from wayline.operators.first_match import SALTS, attach, first_match
 from wayline.scratch import stored
 from wayline.sources.tables import PLACE_COLUMNS
 
@@ -64,7 +64,8 @@ def term_frequency(postings: DataFrame) -> DataFrame:
 
 def term_answers(rows: DataFrame, postings: DataFrame) -> DataFrame:
     """Answer of each single-term query: first place and representative point."""
-    return first_match(postings.join(rows.drop("terms"), "row_id"), ["term"], ATTRIBUTES)
+    points = rows.select("row_id", "latitude", "longitude")
+    return first_match(postings.join(points, "row_id"), ["term"], ATTRIBUTES, source=rows)
 
 
 def place_index(places: DataFrame, columns: tuple[str, ...] = PLACE_COLUMNS) -> PlaceIndex:
@@ -114,7 +115,7 @@ def query_text(on: Mapping[str, str | Column], op: str, scope: str) -> Column:
 
 
 def _holds(terms: Column, condition: Column) -> Column:
-    return F.size(F.array_except(condition, terms)) == 0
+    return F.forall(condition, lambda term: F.array_contains(terms, term))
 
 
 def _matches(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
@@ -138,19 +139,25 @@ def _matches(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
         .where("_known = _size").select("_query", "_number", "term")
     )
     at = F.col("_number")
+    wanted = F.array_remove(F.element_at("_conditions", at + 1), F.col("term"))
+    unwanted = (
+        F.slice("_conditions", F.lit(1), at) if op == "OR" else F.slice("_conditions", F.lit(2), F.size("_conditions"))
+    )
     checks = rarest.withColumn("_conditions", conditions).select(
-        "_query",
-        "term",
-        F.element_at("_conditions", at + 1).alias("_wanted"),
-        (F.slice("_conditions", F.lit(1), at) if op == "OR" else F.slice("_conditions", F.lit(2), F.size("_conditions")))
-        .alias("_unwanted"),
+        "_query", "term", wanted.alias("_wanted"), unwanted.alias("_unwanted"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
     )
-    candidates = checks.join(index.postings, "term").drop("term")
+    # A few small rows grow into many candidates here. The salt splits the places of a
+    # frequent term, and a fixed partition count keeps the small rows from being merged.
+    partitions = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = checks.repartition(partitions, "term", "_salt")
+    salted = index.postings.withColumn("_salt", F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int"))
+    candidates = spread.join(salted, ["term", "_salt"]).select("_query", "_wanted", "_unwanted", "row_id")
     rows = candidates.join(index.rows, "row_id")
     matching = _holds(F.col("terms"), F.col("_wanted"))
     if op != "AND":
         matching = matching & ~F.exists("_unwanted", lambda c: _holds(F.col("terms"), c))
-    return rows.where(matching)
+    return rows.where(matching).select("_query", "row_id", "latitude", "longitude")
 
 
 def place_answers(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
@@ -166,7 +173,8 @@ def place_answers(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
         asked = single.select(F.col("_query").alias("term"))
         answers = term_answers(index.rows, index.postings.join(asked, "term", "left_semi"))
     one = single.join(answers, F.col("_query") == F.col("term")).select("_query", *OUTPUT)
-    many = first_match(_matches(queries.where(~is_single), index, op), ["_query"], ATTRIBUTES)
+    matches = _matches(queries.where(~is_single), index, op)
+    many = first_match(matches, ["_query"], ATTRIBUTES, source=index.rows)
     return one.unionByName(many)
 
 

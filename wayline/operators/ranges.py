@@ -125,6 +125,11 @@ def prepare_ranges(
     )
 
 
+def _address(column: str, int_ip: bool) -> Column:
+    value = F.col(f"`{column}`")
+    return value.try_cast("bigint") if int_ip else ip_to_int(value)
+
+
 def _answer(table: RangeTable) -> Column:
     return F.struct(*table.columns)
 
@@ -158,15 +163,17 @@ def lookup_ip(
     table: RangeTable,
     prefix: str = "geo_",
     int_ip: bool = False,
+    address: str | None = None,
 ) -> DataFrame:
     """Left lookup of an address column; unparsable or null addresses get nulls.
+    ``address`` names a column that already holds the parsed value.
 
     A small table joins by broadcast, without moving the probe. Of a large disjoint one
     only the long ranges are broadcast; the rest is resolved for the distinct addresses
     and joined back by address. Overlapping ranges always take the second way.
     """
-    address = F.col(f"`{ip}`").try_cast("bigint") if int_ip else ip_to_int(F.col(f"`{ip}`"))
-    keyed = probe.withColumn("_ip", address)
+    value = F.col(address) if address else _address(ip, int_ip)
+    keyed = probe.withColumn("_ip", value)
     if table.disjoint:
         direct = [b for b in table.bits if table.small or b >= COARSE_BITS]
     else:
@@ -179,7 +186,7 @@ def lookup_ip(
     if shuffled:
         if probe.isStreaming:
             raise ValueError("this range table needs a shuffle per batch: use foreachBatch on a stream")
-        hits = _distinct_hits(probe.select(address.alias("_ip")), table, "_ip", shuffled)
+        hits = _distinct_hits(probe.select(value.alias("_ip")), table, "_ip", shuffled)
         if not table.disjoint:
             hits = hits.groupBy("_address").agg(F.min_by("_range_shuffled", "_hi").alias("_range_shuffled"))
         keyed = keyed.join(hits.select("_address", "_range_shuffled"), F.col("_ip") == F.col("_address"), "left")
@@ -205,7 +212,6 @@ def join_networks(probe: DataFrame, ip: str, networks: DataFrame, cidr: str = "c
     nets = networks.withColumn("_length", length).withColumn("_net", start)
     nets = nets.where(F.col("_net").bitwiseAND(prefix_mask(F.col("_length"))) == F.col("_net"))
     lengths = sorted(r[0] for r in nets.select("_length").distinct().collect())  # at most 33 values
-    address = F.col(f"`{ip}`").try_cast("bigint") if int_ip else ip_to_int(F.col(f"`{ip}`"))
     keys = F.array(
         *[
             F.struct(
@@ -215,7 +221,7 @@ def join_networks(probe: DataFrame, ip: str, networks: DataFrame, cidr: str = "c
             for n in lengths
         ]
     ) if lengths else F.array().cast("array<struct<_length:int,_net:bigint>>")
-    exploded = probe.withColumn("_ip", address).withColumn("_key", F.explode(keys))
+    exploded = probe.withColumn("_ip", _address(ip, int_ip)).withColumn("_key", F.explode(keys))
     exploded = exploded.select(*probe.columns, "_key.*")
     joined = exploded.join(hinted(nets, is_small(networks)), ["_length", "_net"])
     return joined.drop("_length", "_net")

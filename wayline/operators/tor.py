@@ -26,15 +26,17 @@ def missing_servers(exit_nodes: DataFrame, servers: DataFrame) -> DataFrame:
 
 
 def tag_relays(
-    df: DataFrame, column: str, relays: DataFrame, int_ip: bool = False, small: bool | None = None
+    df: DataFrame, column: str, relays: DataFrame, int_ip: bool = False, small: bool | None = None,
+    address: str | None = None,
 ) -> DataFrame:
     """Add ``tor_info``, ``tor_is_exit_node`` and ``tor_is_tor_server``.
 
     One join serves both flags. Null and '' are labelled invalid with false flags; text
-    that is no address is labelled invalid with null flags.
+    that is no address is labelled invalid with null flags. ``address`` names a column
+    that already holds the parsed value.
     """
     text = F.col(f"`{column}`").cast("string")
-    ip = text.try_cast("bigint") if int_ip else ip_to_int(text)
+    ip = F.col(address) if address else text.try_cast("bigint") if int_ip else ip_to_int(text)
     side = relays.select(F.col("ip_int").alias("_relay"), "is_exit", "is_server")
     joined = df.withColumn("_ip", ip).join(
         hinted(side, is_small(relays) if small is None else small), F.col("_ip") == F.col("_relay"), "left"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wayline.config import ImportConfig, ImportOptions
 from wayline.functions.ids import document_id
+from wayline.functions.ip import ip_to_int
 from wayline.operators.documents import to_documents
 from wayline.operators.lookup import COUNTRY, lookup
 from wayline.operators.parse import (
@@ -69,11 +70,12 @@ def parse(lines: DataFrame, cfg: ImportConfig, options: ImportOptions) -> DataFr
     return parse_untyped(lines, cfg, options.separator, required)
 
 
-def enrich_geo(rows: DataFrame, options: ImportOptions, tables: LookupTables) -> DataFrame:
+def enrich_geo(rows: DataFrame, options: ImportOptions, tables: LookupTables, address: str | None = None) -> DataFrame:
     """Add the ``geo_`` columns of the chosen precision."""
     precision = (options.geo_precision or "").lower()
     if precision == "ip":
-        return lookup_ip(rows, options.geo_columns["ip"], _given(tables.ranges, "ranges"), int_ip=options.geo_int_ip)
+        ranges = _given(tables.ranges, "ranges")
+        return lookup_ip(rows, options.geo_columns["ip"], ranges, int_ip=options.geo_int_ip, address=address)
     if precision == "country_level":
         # Stored answers cover every subset of the table's keys, in the table's order.
         on = {k: F.lit(None).cast("string") for k in COUNTRY.keys}
@@ -94,10 +96,17 @@ def _given(table, name: str):
 
 def enrich(rows: DataFrame, cfg: ImportConfig, options: ImportOptions, tables: LookupTables) -> DataFrame:
     """Everything after parsing: lookups, relay flags, constants, dates, id."""
-    rows = enrich_geo(rows, options, tables)
+    # One address column for both lookups is parsed once.
+    shared = options.geo_columns.get("ip") if options.geo_columns.get("ip") == options.tor_column else None
+    address = "_address" if shared and not options.geo_int_ip and not options.tor_int_ip else None
+    if address:
+        rows = rows.withColumn(address, ip_to_int(F.col(f"`{shared}`")))
+    rows = enrich_geo(rows, options, tables, address)
     if options.tor_column:
         relays = _given(tables.relays, "relays")
-        rows = tag_relays(rows, options.tor_column, relays, options.tor_int_ip, tables.relays_small)
+        rows = tag_relays(rows, options.tor_column, relays, options.tor_int_ip, tables.relays_small, address)
+    if address:
+        rows = rows.drop(address)
     rows = with_constants(rows, options.constants)
     if options.dates_in_seconds and not options.typed:
         rows = dates_to_ms(rows, cfg.date_columns())
