@@ -12,8 +12,12 @@ UNDECODABLE = "\ufffd"
 POSITION = "_position"
 
 
-def _clean(value: Column) -> Column:
-    return F.when(value.contains(UNDECODABLE), F.translate(value, UNDECODABLE, "")).otherwise(value)
+def _clean(value: Column, decoded: bool) -> Column:
+    """Drop bytes that are not UTF-8. The CSV reader has already put a replacement
+    character for each; the text reader passes the bytes on."""
+    dropped = F.translate(F.make_valid_utf8(value), UNDECODABLE, "")
+    fine = ~value.contains(UNDECODABLE) if decoded else F.is_valid_utf8(value)
+    return F.when(fine, value).otherwise(dropped)
 
 
 def read_position() -> Column:
@@ -44,7 +48,7 @@ def scan_lines(spark: SparkSession, path: str | list[str], skip_header: bool = F
         lines = reader.csv(path)
     else:
         lines = reader.text(path)
-    return lines.select(_clean(F.col("value")).alias("value"), *([read_position()] if positions else []))
+    return lines.select(_clean(F.col("value"), decoded=skip_header).alias("value"), *([read_position()] if positions else []))
 
 
 def with_order(rows: DataFrame, name: str = "seq") -> DataFrame:
