@@ -122,7 +122,8 @@ def lookup_any(
 
     Works on the distinct key tuples, which are stored. A table row that matches a tuple through several
     keys is counted once: the join on one key leaves out rows that an earlier key
-    already brought. Matches feed the partial aggregation directly.
+    already brought. Matches feed the partial aggregation directly, and the stored
+    answers come back by broadcast if they measure small.
     """
     keys = _checked(spec, on)
     values = [_probe_key(on[k]) for k in keys]
@@ -132,12 +133,13 @@ def lookup_any(
     rows = table.select(*needed)
     parts = []
     for i, key in enumerate(keys):
-        fresh = F.lit(True)
+        matching = F.col(f"_q{i}") == F.col(key)
         for j, earlier in enumerate(keys[:i]):
-            fresh = fresh & ~F.coalesce(F.col(earlier) == F.col(f"_q{j}"), F.lit(False))
-        parts.append(tuples.join(rows, (F.col(f"_q{i}") == F.col(key)) & fresh))
+            matching = matching & ~F.coalesce(F.col(earlier) == F.col(f"_q{j}"), F.lit(False))
+        parts.append(tuples.join(rows, matching))
     matches = reduce(DataFrame.unionByName, parts)
     group = [f"_q{i}" for i in range(len(keys))]
-    answers = first_match(matches, group, spec.attributes, spec.lat, spec.lon, spec.row_id)
+    answers = first_match(matches, group, spec.attributes, spec.lat, spec.lon, spec.row_id, source=table)
+    answers = stored(answers, "key_answers")
     pairs = [(F.coalesce(v, F.lit("\u0000")), f"_q{i}") for i, v in enumerate(values)]
-    return attach(probe, answers, pairs, spec.output(), prefix, small=False)
+    return attach(probe, answers, pairs, spec.output(), prefix, is_small(answers))

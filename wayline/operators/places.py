@@ -5,7 +5,7 @@ A term is ``column:word`` or, for a word in any column, ``*:word``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wayline.functions.text import words
 from wayline.operators.first_match import SALTS, attach, first_match
+from wayline.operators.sizing import is_small
 from wayline.scratch import stored
 from wayline.sources.tables import PLACE_COLUMNS
 
@@ -42,14 +43,16 @@ class PlaceIndex:
     answers: DataFrame | None = None
 
 
-def _prefixed(prefix: str) -> Callable[[Column], Column]:
-    return lambda word: F.concat(F.lit(prefix), word)
+def _column_terms(column: str) -> Column:
+    def both(word: Column) -> Column:
+        return F.array(F.concat(F.lit(f"{column}:"), word), F.concat(F.lit("*:"), word))
+
+    return F.flatten(F.transform(words(F.col(column)), both))
 
 
 def place_rows(places: DataFrame, columns: tuple[str, ...] = PLACE_COLUMNS) -> DataFrame:
     """Add the distinct ``terms`` of each row; numbers are indexed as text."""
-    per_column = [F.transform(words(F.col(c)), _prefixed(p)) for c in columns for p in (f"{c}:", "*:")]
-    return places.withColumn("terms", F.array_distinct(F.concat(*per_column)))
+    return places.withColumn("terms", F.array_distinct(F.concat(*[_column_terms(c) for c in columns])))
 
 
 def place_postings(rows: DataFrame) -> DataFrame:
@@ -191,7 +194,7 @@ def lookup_place(
     (the first without the others).
 
     The probe is read twice: once for its distinct queries, which are stored, and once
-    to attach their answers.
+    to attach their answers, by broadcast if these measure small.
     """
     if op not in ("AND", "OR", "NOT"):
         raise ValueError(f"unknown operator {op!r}")
@@ -199,8 +202,9 @@ def lookup_place(
         raise ValueError("no lookup key given")
     query = query_text(on, op, scope)
     asked = stored(probe.select(query.alias("_query")).dropna().distinct(), "asked_places")
-    answers = place_answers(asked, index, op).withColumn("country_name", F.lit(None).cast("string"))
-    return attach(probe, answers, [(query, "_query")], [*OUTPUT, "country_name"], prefix, small=False)
+    answers = stored(place_answers(asked, index, op), "place_answers")
+    answered = answers.withColumn("country_name", F.lit(None).cast("string"))
+    return attach(probe, answered, [(query, "_query")], [*OUTPUT, "country_name"], prefix, is_small(answers))
 
 
 def check_place_keys(on: Mapping[str, object]) -> None:

@@ -21,7 +21,7 @@ from wayline.plans import fixtures as fx
 from wayline.plans import tables as table_builds
 from wayline.plans.import_job import LookupTables, import_documents, import_lines
 from wayline.plans.report import load_report
-from wayline.scratch import shared_folder, stored
+from wayline.scratch import shared_folder
 from wayline.sources.lines import generate_lines, scan_lines
 from wayline.sources.tables import (
     COUNTRY_COLUMNS,
@@ -36,6 +36,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+_BUILT: set[str] = set()
+
+
+def _built(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A lookup table, built once per application and read by every later query."""
+    path = shared_folder(spark, f"{name}/{sf_dir.strip('/').replace('/', '-')}")
+    if path not in _BUILT:
+        make().write.mode("overwrite").parquet(path)
+        _BUILT.add(path)
+    return spark.read.parquet(path)
+
+
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
     return function
@@ -332,7 +344,7 @@ def geo_range_by_key(spark, sf_dir):
 
 
 def _ranges(spark: SparkSession, sf_dir: str, mode: str = "inclusive", **limits) -> range_ops.RangeTable:
-    table = stored(range_ops.ip_range_table(fx.raw_ranges(spark, sf_dir)), "ip_ranges")
+    table = _built(spark, sf_dir, "ip_ranges", lambda: range_ops.ip_range_table(fx.raw_ranges(spark, sf_dir)))
     return range_ops.prepare_ranges(table, mode=mode, **limits)
 
 
@@ -376,9 +388,10 @@ def cidr_join(spark, sf_dir):
 
 def _place_query(on: dict[str, str], op: str = "AND", scope: str = "first_token") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = stored(place_ops.place_rows(fx.places(spark, sf_dir)), "place_rows")
+        rows = _built(spark, sf_dir, "place_rows", lambda: place_ops.place_rows(fx.places(spark, sf_dir)))
         postings = place_ops.place_postings(rows)
-        index = place_ops.PlaceIndex(rows, postings, stored(place_ops.term_frequency(postings), "term_frequency"))
+        frequency = _built(spark, sf_dir, "term_frequency", lambda: place_ops.term_frequency(postings))
+        index = place_ops.PlaceIndex(rows, postings, frequency)
         return place_ops.lookup_place(fx.place_probes(spark, sf_dir), index, on, op, scope)
 
     return run
