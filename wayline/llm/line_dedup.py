@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayline.llm.text import WORD, narrow
+from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
 
 SHORT = 5
@@ -90,7 +91,8 @@ def _able_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
     able = keys.join(often, "key", "left_semi").select("h", "h2", "place").distinct()
     places = able.select("h", "h2", "place", F.col("place.doc").alias("_doc"), F.col("place.row").alias("_r"), F.col("place.line_no").alias("_no"))
     places = stored(places, "able_places")
-    wanted = places.groupBy("_doc", "_r").agg(F.collect_set("_no").alias("_nos"))
+    wanted = stored(places.groupBy("_doc", "_r").agg(F.collect_set("_no").alias("_nos")), "able_documents")
+    wanted = hinted(wanted, is_small(wanted))
     rows = narrow(docs, "doc_id", "text").withColumn("row", _row())
     rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_r"))).select("doc_id", "row", "text", "_nos")
     lines = rows.select("doc_id", "row", "_nos", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))

@@ -78,7 +78,8 @@ def _across(blocks: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs of one block in different components that sizes and rests allow."""
     placed = blocks.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parts = placed.groupBy("block", "component").agg(
-        F.min("size").alias("low"), F.max("size").alias("high"), F.max("rest").alias("rest")
+        F.min("size").alias("low"), F.max("size").alias("high"), F.max("rest").alias("rest"),
+        F.count(F.lit(1)).alias("nodes"),
     )
     mixed = parts.groupBy("block").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("block")
     parts = stored(parts.join(mixed, "block", "left_semi"), "link_parts")
@@ -88,11 +89,17 @@ def _across(blocks: DataFrame, found: DataFrame) -> DataFrame:
         & (F.col("p.high") * 100 >= F.col("q.low") * PERCENT) & (F.col("q.high") * 100 >= F.col("p.low") * PERCENT)
         & (F.least("p.rest", "q.rest") >= needed(F.col("p.low"), F.col("q.low")))
     )
-    parted = p.join(q.hint("merge"), meets).select("p.block", F.col("p.component").alias("c"), F.col("q.component").alias("d"))
+    parted = p.join(q.hint("merge"), meets).select(
+        "p.block", F.col("p.component").alias("c"), F.col("q.component").alias("d"), F.col("p.nodes").alias("cs"), F.col("q.nodes").alias("ds")
+    )
     placed = stored(placed.join(mixed, "block", "left_semi"), "link_placed")
-    x = placed.select("block", F.col("component").alias("c"), F.col("node").alias("x"), F.col("size").alias("m"), F.col("rest").alias("r"))
-    y = placed.select("block", F.col("component").alias("d"), F.col("node").alias("y"), F.col("size").alias("n"), F.col("rest").alias("s"))
-    fits = similar_sizes(F.col("m"), F.col("n")) & (F.least("r", "s") >= needed(F.col("m"), F.col("n")))
-    return parted.join(x, ["block", "c"]).join(y, ["block", "d"]).where(fits).select(
+    # Of two components the nodes of the lesser one in the block meet all nodes of the other,
+    # once for all blocks.
+    sized = stored(parted.select("block", F.when(F.col("cs") <= F.col("ds"), F.struct(F.col("c").alias("lesser"), F.col("d").alias("other")))
+        .otherwise(F.struct(F.col("d").alias("lesser"), F.col("c").alias("other"))).alias("s")).select("block", "s.lesser", "s.other"), "link_meetings")
+    x = placed.select("block", F.col("component").alias("lesser"), F.col("node").alias("x"), F.col("size").alias("m"))
+    meeting = sized.join(x, ["block", "lesser"]).select("other", "x", "m").distinct()
+    y = placed.select(F.col("component").alias("other"), F.col("node").alias("y"), F.col("size").alias("n")).distinct()
+    return meeting.join(y, "other").where(similar_sizes(F.col("m"), F.col("n"))).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
     ).distinct()

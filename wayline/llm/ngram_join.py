@@ -25,11 +25,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayline.llm.linking import linked, needed, similar_sizes
 from wayline.llm.text import WordHashes, as_longs, list_array, narrow, pieces, shingles, utf8
+from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
 
 # Documents of a task are counted together until they hold so many shingles; a shingle met
@@ -38,6 +39,8 @@ COUNTED = 2_000_000
 OFTEN = 4
 FREQUENT = 131_072
 LARGE = 32
+# A shingle counted so often makes a block without being counted again.
+CROWDED = 4096
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,15 +63,18 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield report()
 
 
-def frequent_shingles(docs: DataFrame) -> np.ndarray:
-    """The most frequent shingles of the corpus, rarest first; at most :data:`FREQUENT`."""
+def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """The most frequent shingles of the corpus, rarest first, at most :data:`FREQUENT`.
+
+    From the second value on they were counted :data:`CROWDED` times or more.
+    """
     counted = narrow(docs, "text").mapInArrow(_frequent, "shingle bigint, n bigint")
     top = counted.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT)
-    rows = top.toPandas()
-    return rows["shingle"].to_numpy(dtype=np.int64).view(np.uint64)[::-1].copy()
+    rows = top.toPandas()[::-1]
+    return rows["shingle"].to_numpy(dtype=np.int64).view(np.uint64).copy(), int((rows["n"] < CROWDED).sum())
 
 
-PREFIXES = "doc_id bigint, n bigint, node bigint, prefix array<bigint>, prefix_hash bigint"
+PREFIXES = "doc_id bigint, n bigint, node bigint, g bigint, prefix array<bigint>, crowded int"
 
 
 def prefix_length(n):
@@ -82,31 +88,32 @@ def _node(items: np.ndarray) -> int:
     return name - (1 << 64) if name >= 1 << 63 else name
 
 
-def _prefixes(frequent: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _prefixes(frequent: np.ndarray, uncrowded: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Prefix of each text, given once per task and group; ``crowded`` is where crowded shingles begin."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, given = WordHashes(), set()
         by_value = np.argsort(frequent)
         values = frequent[by_value]
         for batch in pieces(batches):
-            sizes, nodes, prefixes, names = [], [], [], []
+            sizes, nodes, groups, prefixes, crowded = [], [], [], [], []
             for text in utf8(batch, "text"):
                 items = shingles(text or b"", hashes)
+                rank = np.zeros(len(items), dtype=np.int64)
                 if len(values):
                     at = np.minimum(np.searchsorted(values, items), len(values) - 1)
                     rank = np.where(values[at] == items, by_value[at] + 1, 0)
-                    ordered = items[np.argsort(rank, kind="stable")]
-                else:
-                    ordered = items
-                prefix = ordered[: prefix_length(len(items))] if len(items) else items
+                order = np.argsort(rank, kind="stable")[: prefix_length(len(items)) if len(items) else 0]
+                prefix = items[order]
                 sizes.append(len(items))
                 nodes.append(_node(items))
-                prefixes.append(as_longs(prefix))
-                names.append(_node(prefix))
+                groups.append(_node(prefix) ^ len(items))
+                crowded.append(int((rank[order] <= uncrowded).sum()))
+                prefixes.append(as_longs(prefix if groups[-1] not in given else prefix[:0]))
+                given.add(groups[-1])
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "n": pa.array(sizes, pa.int64()),
-                "node": pa.array(nodes, pa.int64()),
-                "prefix": list_array(prefixes, pa.int64()),
-                "prefix_hash": pa.array(names, pa.int64()),
+                "doc_id": batch.column("doc_id"), "n": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64()),
+                "g": pa.array(groups, pa.int64()), "prefix": list_array(prefixes, pa.int64()), "crowded": pa.array(crowded, pa.int32()),
             })
 
     return run
@@ -124,36 +131,37 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
 
-def _candidates(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _candidates(prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Group pairs that pass the filters, and blocks of groups under frequent shingles.
 
-    ``groups`` has ``g, n, prefix``. Postings of shingles in one group only are dropped.
+    Postings meet once by shingle; those of crowded shingles go to blocks as they are.
     """
-    postings = groups.select("g", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    counts = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1")
-    shared = stored(postings.join(counts.hint("merge"), "shingle"), "shared_postings")
-    large = shared.where(F.col("groups") > LARGE).withColumn("rest", F.col("n") - F.col("pos"))
+    postings = prefixes.select("g", "n", "crowded", F.posexplode("prefix").alias("pos", "shingle"))
+    few = postings.where("pos < crowded").select("shingle", "g", F.col("n").cast("int").alias("n"), "pos")
+    met = few.repartition("shingle").dropDuplicates(["shingle", "g"])
+    groups = F.count(F.lit(1)).over(Window.partitionBy("shingle"))
+    shared = stored(met.withColumn("groups", groups).where("groups > 1"), "shared_postings")
+    crowded = postings.where("pos >= crowded").select("shingle", "g", "n", "pos").dropDuplicates(["shingle", "g"])
+    large = shared.where(F.col("groups") > LARGE).select("shingle", "g", F.col("n").cast("bigint").alias("n"), "pos").unionByName(crowded)
+    large = stored(large.withColumn("rest", F.col("n") - F.col("pos")), "large_postings")
     in_large = large.groupBy("g").agg(F.count(F.lit(1)).alias("in_large"))
-    small = shared.where(F.col("groups") <= LARGE).join(in_large, "g", "left").select(
-        "shingle", "g", "n", "pos", F.coalesce("in_large", F.lit(0)).alias("in_large")
-    )
-    small = stored(small, "small_postings")
+    small = shared.where(F.col("groups") <= LARGE)
     x, y = small.alias("x"), small.alias("y")
     meets = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.g") < F.col("y.g")) & similar_sizes(F.col("x.n"), F.col("y.n"))
     met = x.join(y.hint("merge"), meets).groupBy(F.col("x.g").alias("g"), F.col("y.g").alias("h")).agg(
         F.count(F.lit(1)).alias("shared"), F.first("x.n").alias("n"), F.first("y.n").alias("m"),
         F.max("x.pos").alias("last_g"), F.max("y.pos").alias("last_h"),
-        F.min(F.col("x.pos")).alias("first_g"), F.min(F.col("y.pos")).alias("first_h"),
-        F.first(F.least("x.in_large", "y.in_large")).alias("in_large"),
     )
     # Behind the prefix that ends first only the rest of both sets can be shared.
     behind_g = F.least(F.col("n") - _prefix("n"), F.col("m") - F.col("last_h") - 1)
     behind_h = F.least(F.col("m") - _prefix("m"), F.col("n") - F.col("last_g") - 1)
-    most = F.col("shared") + F.col("in_large") + F.greatest(behind_g, behind_h)
-    # Nothing stands before the first shared shingle, unless it is under a block.
-    after = F.least(F.col("n") - F.col("first_g"), F.col("m") - F.col("first_h")) + F.col("in_large")
-    least = needed(F.col("n"), F.col("m"))
-    pairs = met.where((most >= least) & (after >= least)).select("g", "h")
+    most = F.col("shared") + F.greatest(behind_g, behind_h)
+    met = met.withColumn("most", most).withColumn("needed", needed(F.col("n"), F.col("m")))
+    # The postings under blocks, which were not counted, may be shared as well.
+    met = met.where(F.col("most") + F.least(_prefix("n"), _prefix("m")) >= F.col("needed")).select("g", "h", "most", "needed")
+    met = met.join(in_large, "g", "left").join(in_large.select(F.col("g").alias("h"), F.col("in_large").alias("in_large_h")), "h", "left")
+    both = F.least(F.coalesce("in_large", F.lit(0)), F.coalesce("in_large_h", F.lit(0)))
+    pairs = met.where(F.col("most") + both >= F.col("needed")).select("g", "h")
     return pairs, large.select(F.col("shingle").alias("block"), "g", "n", "rest")
 
 
@@ -167,16 +175,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ``n_links`` counts verified links of the document's class to other classes.
     """
     rows = narrow(docs, "doc_id", "text")
-    prefixes = stored(rows.mapInArrow(_prefixes(frequent_shingles(rows)), PREFIXES), "prefixes")
-    members = prefixes.where("n > 0").select("node", "n", "prefix_hash").distinct()
-    members = stored(
-        members.groupBy("prefix_hash", "n").agg(F.min("node").alias("g"), F.count(F.lit(1)).alias("members"))
-        .join(members, ["prefix_hash", "n"]).select("g", "n", "members", "node"), "group_members",
-    )
-    groups = prefixes.where("n > 0").select("node", "n", "prefix").join(
-        members.where("g = node").select("g"), F.col("node") == F.col("g"), "left_semi"
-    ).dropDuplicates(["node"]).select(F.col("node").alias("g"), "n", "prefix")
-    pairs, blocks = _candidates(groups)
+    prefixes = stored(rows.mapInArrow(_prefixes(*frequent_shingles(rows)), PREFIXES), "prefixes")
+    members = prefixes.where("n > 0").select("g", "n", "node").distinct()
+    counts = members.groupBy("g").agg(F.count(F.lit(1)).alias("members"))
+    members = stored(members.join(counts, "g"), "group_members")
+    pairs, blocks = _candidates(prefixes)
     pairs = stored(pairs, "group_pairs")
     # Expand: pairs of small groups into all member pairs, others and groups themselves into blocks.
     sized = members.groupBy("g").agg(F.first("members").alias("k")).where("k > 1")
@@ -194,7 +197,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = prefixes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        wanted = texts.join(nodes, "node", "left_semi").where(F.col("doc_id").isNotNull())
+        wanted = stored(texts.join(nodes, "node", "left_semi").where(F.col("doc_id").isNotNull()), "wanted")
+        wanted = hinted(wanted, is_small(wanted))
         return rows.join(wanted, "doc_id").select("node", "text").mapInArrow(_sets, "node bigint, items array<bigint>")
 
     links, found = linked(member_pairs, spread.unionByName(own).unionByName(met), sets_of)

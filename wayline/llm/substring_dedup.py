@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from wayline.llm.linking import linked, similar_sizes
 from wayline.llm.text import WordHashes, as_longs, list_array, mixed, narrow, pieces, shingles, utf8
+from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
 
 LEAST = 20
@@ -114,6 +115,8 @@ def paragraph_clusters(docs: DataFrame) -> DataFrame:
     def sets_of(nodes: DataFrame) -> DataFrame:
         at = distinct.join(nodes, "node", "left_semi").select(F.col("place.doc").alias("doc"), "place.line_no")
         wanted = at.where(F.col("doc").isNotNull()).groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line_no").alias("nos"))
+        wanted = stored(wanted, "wanted")
+        wanted = hinted(wanted, is_small(wanted))
         sets = rows.join(wanted, "doc_id").select("text", "nos").mapInArrow(_paragraph_sets, "node bigint, items array<bigint>")
         return sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
