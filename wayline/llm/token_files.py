@@ -41,12 +41,12 @@ WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 SEGMENTS = "shard int, segment int, n_ids bigint, doc_ids array<bigint>, doc_tokens array<bigint>, block_words binary, words binary"
 
 
-def _bit_lengths(values: np.ndarray) -> np.ndarray:
-    lengths = np.ones(len(values), dtype=np.int64)
-    for bits in WIDTHS[:-1]:
-        lengths += (values >> np.uint64(bits)) != 0
-    lengths += (values >> np.uint64(60)) != 0
-    return lengths  # class number: 1 fits the first width, 14 fits 60 bits, 15 needs the escape
+_LIMITS = np.array([(1 << int(w)) - 1 for w in WIDTHS], dtype=np.uint64)
+
+
+def _width_classes(values: np.ndarray) -> np.ndarray:
+    """1 if the first width holds a value, 14 if 60 bits do, 15 if it needs the escape."""
+    return np.searchsorted(_LIMITS, values, side="left") + 1
 
 
 def encode_ids(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,19 +56,27 @@ def encode_ids(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not blocks:
         return np.empty(0, dtype="<u8"), np.empty(0, dtype="<u4")
     padded = np.zeros((blocks, BLOCK + int(COUNTS[0])), dtype=np.uint64)
-    classes = np.ones(padded.shape, dtype=np.int8)
+    classes = np.ones(padded.shape, dtype=np.uint8)
     sizes = np.full(blocks, BLOCK)
     sizes[-1] = len(values) - BLOCK * (blocks - 1)
     inside = np.arange(BLOCK) < sizes[:, None]
     padded[:, :BLOCK][inside] = values
-    classes[:, :BLOCK][inside] = _bit_lengths(values)
+    classes[:, :BLOCK][inside] = _width_classes(values)
     # Of each position the first selector, so the one that packs most, whose window all fits.
     choice = np.zeros((blocks, BLOCK), dtype=np.int8)
     for s in range(len(COUNTS), 0, -1):
-        wide = np.zeros((blocks, padded.shape[1] + 1), dtype=np.int32)
-        np.cumsum(classes > s, axis=1, out=wide[:, 1:])
         n = int(COUNTS[s - 1])
-        choice[(wide[:, n : n + BLOCK] - wide[:, :BLOCK]) == 0] = s
+        fits = classes <= s
+        width = 1
+        # Windows of n that fit, from windows of doubling width.
+        while width * 2 <= n and fits.any():
+            fits = fits[:, :-width] & fits[:, width:]
+            width *= 2
+        if not fits.any():
+            continue
+        if width < n:
+            fits = fits[:, : width - n] & fits[:, n - width :]
+        choice[fits[:, :BLOCK]] = s
     at = np.zeros(blocks, dtype=np.int64)
     rows: list[tuple[np.ndarray, np.ndarray]] = []
     steps = np.concatenate(([1], COUNTS))
@@ -159,7 +167,7 @@ def _segments(path: str, split: str, end_id: int) -> Callable[[Iterator[pa.Recor
                 "block_words": pa.array([starts.tobytes()], pa.binary()), "words": pa.array([words.tobytes()], pa.binary()),
             })
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, 128):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):
                 held.append(ids + end)
@@ -179,7 +187,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, split: str, en
     """Encode all texts and write their ids under ``path``.
 
     ``tokenizer`` is a vocabulary file every executor can read, ``split`` its kind of
-    piece (see :data:`wayline.llm.tokens.PIECES`).
+    piece (see :data:`wayline.llm.tokens.CUTS`).
     """
     rows = narrow(docs, "doc_id", "text")
     if shards is None:

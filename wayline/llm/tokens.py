@@ -9,66 +9,116 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
-KEPT_PIECES = 400_000
+# A worker keeps the ids of at most twice so many pieces: those met since the last turn
+# of the store, and those of the turn before.
+KEPT_PIECES = 200_000
 KEPT_LENGTH = 64
+AT_ONCE = 4096
 
 # White space of the tokenizers' patterns: Python's, without the four separators U+001C to U+001F.
 _OTHER = r"[\S\x1c-\x1f]"
 _SPACE = r"[^\S\x1c-\x1f]"
-# "words": white space is dropped, so each run of other characters stands alone.
-# "spaced": a token may start with the white space before it; a cut is safe wherever
-# white space follows another character.
-PIECES = {"words": re.compile(_OTHER + "+"), "spaced": re.compile(f"{_SPACE}*{_OTHER}+|{_SPACE}+")}
-_TAIL = re.compile(r"(?<=[A-Za-z])[.,!|;:]+\Z")
+_WORDS = re.compile(_OTHER + "+")
+_SPACED = re.compile(f"{_SPACE}*{_OTHER}+|{_SPACE}+")
+_RARE_SPACE = re.compile(r"[^\S \n]|[ \n] |\0")
+_TAIL = ".,!|;:"
+
+
+def words(text: str) -> list[str]:
+    """Pieces where white space is dropped: each run of other characters stands alone."""
+    if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
+        return _WORDS.findall(text)
+    return text.split()
+
+
+def spaced(text: str) -> list[str]:
+    """Pieces where a token may start with the white space before it.
+
+    A cut is safe where white space follows another character.
+    """
+    if _RARE_SPACE.search(text):
+        return _SPACED.findall(text)
+    return text.replace(" ", "\0 ").split("\0")
+
+
+def _leaves(piece: str) -> list[str]:
+    """Parts of a piece with a token boundary between them, which many pieces share.
+
+    Before a line break, and between a letter and closing punctuation.
+    """
+    at = piece.find("\n", 1)
+    if at > 0 and not piece[at - 1].isspace():
+        return _leaves(piece[:at]) + _leaves(piece[at:])
+    stem = piece.rstrip(_TAIL)
+    if len(stem) < len(piece) and stem[-1:].isalpha() and stem.isascii():
+        return [stem, piece[len(stem) :]]
+    return [piece]
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, split: str) -> None:
+    def __init__(self, path: str, cut: Callable[[str], list[str]]) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.pattern = PIECES[split]
+        self.cut = cut
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.pattern.findall(t) for t in texts]
-        unknown = set().union(*split).difference(self.known) if split else set()
-        # Letters before closing punctuation are a token boundary: both sides are shared by many pieces.
-        tails = {p: m.start() for p in unknown if (m := _TAIL.search(p))}
-        parts = {p[:at] for p, at in tails.items()} | {p[at:] for p, at in tails.items()} | (unknown - tails.keys())
-        todo = list(parts.difference(self.known))
-        new = dict(zip(todo, self._encode(todo)))
-        new.update({p: self._part(new, p[:at]) + self._part(new, p[at:]) for p, at in tails.items()})
-        self.known.update(new)
-        ids = [b"".join(map(self.known.__getitem__, s)) for s in split]
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        else:
-            for piece in new:
-                if len(piece) > KEPT_LENGTH:
-                    del self.known[piece]
+        known = self.known
+        split = [self.cut(t) for t in texts]
+        missing = {p for s in split for p in s if p not in known}
+        self._learn(missing)
+        ids = [b"".join(map(known.__getitem__, s)) for s in split]
+        for piece in missing:
+            if len(piece) > KEPT_LENGTH:
+                del known[piece]
+        if len(known) > KEPT_PIECES:
+            self.known, self.older = {}, known
         return ids
 
-    def _part(self, new: dict[str, bytes], part: str) -> bytes:
-        return new[part] if part in new else self.known[part]
+    def _learn(self, missing: set[str]) -> None:
+        known, older = self.known, self.older
+        for piece in [p for p in missing if p in older]:
+            known[piece] = older[piece]
+        new = [p for p in missing if p not in known]
+        leaves = [_leaves(p) for p in new]
+        todo = {x for found in leaves for x in found if x not in known}
+        for piece in [p for p in todo if p in older]:
+            known[piece] = older[piece]
+            todo.remove(piece)
+        order = list(todo)
+        for start in range(0, len(order), AT_ONCE):
+            part = order[start : start + AT_ONCE]
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(lists), dtype="<u4").tobytes()
+            at = 0
+            for piece, ids in zip(part, lists):
+                end = at + 4 * len(ids)
+                known[piece] = flat[at:end]
+                at = end
+        for piece, found in zip(new, leaves):
+            if len(found) > 1:
+                known[piece] = b"".join([known[x] for x in found])
+
+
+CUTS = {"words": words, "spaced": spaced}
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str, split: str) -> Encoder:
     """One encoder per worker process, kept over its tasks."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Encoder(path, split)
+    return Encoder(path, CUTS[split])
 
 
 def public_path(name: str) -> str:
