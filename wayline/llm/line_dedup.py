@@ -103,13 +103,15 @@ def _able_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
 
 def _near_pairs(able: DataFrame) -> DataFrame:
     """``h, h2, w, w2``: a line and an earlier one that shares a variant with it."""
-    n = F.size("words")
+    # A variant is named by the hashes of its words.
+    able = able.withColumn("hs", F.transform("words", lambda w: F.xxhash64(w)))
+    n = F.size("hs")
     deleted = F.transform(
         F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(i.alias("at"), _hash(F.concat(F.slice("words", F.lit(1), i), F.slice("words", i + 2, n))).alias("v")),
+        lambda i: F.struct(i.alias("at"), F.xxhash64(F.concat(F.slice("hs", F.lit(1), i), F.slice("hs", i + 2, n))).alias("v")),
     )
     # A variant without position is the line itself.
-    itself = F.array(F.struct(F.lit(-1).alias("at"), _hash(F.col("words")).alias("v")))
+    itself = F.array(F.struct(F.lit(-1).alias("at"), F.xxhash64("hs").alias("v")))
     variants = able.select("h", "h2", "place", F.explode(F.concat(deleted, itself)).alias("d")).select("h", "h2", "place", "d.at", "d.v")
     variants = stored(variants, "line_variants")
     line = F.struct("place", "h", "h2")
