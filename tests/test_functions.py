@@ -138,3 +138,17 @@ def test_document_id_does_not_depend_on_partitions(spark):
     assert ids[0] == ids[1] and len(set(ids[0].values())) == 1000
     with pytest.raises(ValueError):
         document_id(["a"], ["a"])
+
+
+def test_line_separators_are_no_end_of_text(spark):
+    rows = spark.createDataFrame([(f"1.2.3.4{c}",) for c in ("\x85", "\u2028", "\u2029")] + [("1.2.3.4",)], "t string")
+    from wayline.functions.ip import ip_to_int
+
+    assert [r[0] for r in rows.select(ip_to_int(F.col("t"))).collect()] == [None, None, None, 16909060]
+
+
+def test_negative_zero_keeps_its_sign(spark):
+    from wayline.functions.casts import finite
+
+    rows = spark.createDataFrame([("-0.0",), ("0.0",), ("-0",)], "t string")
+    assert [str(r[0]) for r in rows.select(finite(F.col("t"))).collect()] == ["-0.0", "0.0", "-0.0"]

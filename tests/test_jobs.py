@@ -178,6 +178,22 @@ def test_stream_upsert_survives_a_retry(spark, tables, tmp_path):
     assert sorted(load("state").values()) == [("3", "28001"), ("4", "48001")]
 
 
+def test_stream_rejects_are_kept_and_counted(spark, tables, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    write(source, "1.txt", LINES[:5])
+    counts = {}
+    listener = streaming.LoadListener()
+
+    def report(batch_id, found):
+        counts[batch_id] = found
+        listener.add(batch_id, found)
+
+    lines = streaming.stream_lines(spark, str(source))
+    streaming.import_stream(lines, CFG, ImportOptions(typed=True), tables, out, str(tmp_path / "s"), once=True, report=report).awaitTermination()
+    assert counts == {0: {"lines": 5, "success": 4, "failed": 1, "bad_fields": 1}} and listener.totals == counts[0]
+    assert spark.read.parquet(f"{out}_rejects").count() == 1 and spark.read.parquet(out).count() == 4
+
+
 def test_stream_counts(spark, tmp_path):
     source = tmp_path / "in"
     write(source, "1.txt", LINES[:5])

@@ -102,3 +102,10 @@ def test_output_schema_lists_generated_columns():
 def test_constants_overwrite(spark):
     df = parse.with_constants(spark.range(1).select(F.lit("x").alias("a")), {"a": "1", "b": "2"})
     assert tuple(df.first()) == ("1", "2")
+
+
+def test_header_skip_keeps_lines_whole(spark, tmp_path):
+    lines = ["head", "a;\x01b;c", "\x00q;r\x00;z", '"x";"', "#n", "\x01\x01p\x01", "plain"]
+    # A line of blanks and control characters alone counts as blank.
+    (tmp_path / "in.txt").write_text("\n".join([*lines, " \t", "\x01"]) + "\n")
+    assert [r.value for r in scan_lines(spark, str(tmp_path), skip_header=True).collect()] == lines[1:]

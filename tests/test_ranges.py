@@ -112,3 +112,12 @@ def test_networks(spark):
     df = spark.createDataFrame([("10.1.2.3",), ("11.0.0.1",), ("bad",)], "ip string")
     got = sorted((r.ip, r.cidr) for r in R.join_networks(df, "ip", nets).collect())
     assert got == [("10.1.2.3", "0.0.0.0/0"), ("10.1.2.3", "10.0.0.0/8"), ("10.1.2.3", "10.1.0.0/16"), ("11.0.0.1", "0.0.0.0/0")]
+
+
+@pytest.mark.parametrize("max_rows", [10**6, 0])
+def test_overlap_is_measured(spark, max_rows):
+    """Overlapping ranges give one row per address, whatever the caller knew."""
+    prepared = table(spark, [(0, 100, "a"), (50, 200, "b")], max_rows=max_rows)
+    df, got = find(spark, [60, 150, 201], prepared)
+    assert not prepared.disjoint and df.count() == 3
+    assert got == {60: "a", 150: "b", 201: None}

@@ -94,5 +94,8 @@ def test_batches_and_compaction(spark, tmp_path):
     assert {r._id: r.v for r in sinks.current_documents(spark, path).collect()} == expected
     sinks.compact(spark, path, snapshot)
     assert {r._id: r.v for r in sinks.current_documents(spark, snapshot).collect()} == expected
+    # A new run that begins at batch 0 again follows the snapshot and leaves it whole.
+    sinks.write_batch(make("three", "c", "d"), snapshot, 0, run=sinks.new_name(), session=sinks.new_name())
+    assert {r._id: r.v for r in sinks.current_documents(spark, snapshot).collect()} == {**expected, "c": "three", "d": "three"}
     with pytest.raises(ValueError):
         sinks.compact(spark, path, snapshot)

@@ -16,8 +16,8 @@ WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 # included. Possessive, so junk after many digits fails at once.
 _BLANKS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]*+"
 _DIGITS = r"[0-9]++(?:_[0-9]++)*+"
-_NUMBER = rf"^{_BLANKS}[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?{_BLANKS}$"
-_NOT_FINITE = rf"^{_BLANKS}[+-]?(?:inf|infinity|nan){_BLANKS}$"
+_NUMBER = rf"^{_BLANKS}[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?{_BLANKS}\z"
+_NOT_FINITE = rf"^{_BLANKS}[+-]?(?:inf|infinity|nan){_BLANKS}\z"
 
 
 def strip_right(text: Column) -> Column:
@@ -53,10 +53,11 @@ def finite(text: Column) -> Column:
     """Text to a finite DOUBLE; null for '', non-numbers, NaN and infinities.
 
     Written without branches around the number, so Spark computes it once:
-    multiplying by zero turns an infinity into NaN, which becomes null.
+    multiplying by zero turns an infinity into NaN, which becomes null. Adding -0.0
+    leaves every number as it is, the sign of zero included.
     """
     value = _number(text)
-    valid = F.when(text.rlike(_NUMBER), F.lit(0.0))
+    valid = F.when(text.rlike(_NUMBER), F.lit(-0.0))
     return F.nanvl(value + value * 0.0 + valid, F.lit(None).cast("double"))
 
 

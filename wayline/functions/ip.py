@@ -10,9 +10,9 @@ MAX_IP = 4294967295
 # The C library's address grammar. One to four parts separated by
 # dots; each part is decimal, octal (leading 0) or hexadecimal (leading 0x).
 _PART = r"(?:0[xX][0-9a-fA-F]+|0[0-7]*|[1-9][0-9]*)"
-_ADDRESS = rf"^{_PART}(?:\.{_PART}){{0,3}}$"
+_ADDRESS = rf"^{_PART}(?:\.{_PART}){{0,3}}\z"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_DOTTED_QUAD = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
+_DOTTED_QUAD = rf"^{_OCTET}(?:\.{_OCTET}){{3}}\z"
 # Text after the first of these blanks is ignored by the C library.
 _BLANKS = r"[ \t\n\x0B\f\r]"
 

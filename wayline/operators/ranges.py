@@ -102,26 +102,29 @@ def prepare_ranges(
     ranges: DataFrame,
     columns: tuple[str, ...] = (*ATTRIBUTES, "location", "representative_point"),
     mode: str = "inclusive",
-    disjoint: bool = True,
+    disjoint: bool | None = None,
     max_rows: int = MAX_ROWS,
     max_bytes: int = MAX_BYTES,
 ) -> RangeTable:
     """Measure a range table and choose how lookups will join it.
 
     ``inclusive`` ranges hold both ends; ``compat`` uses :func:`next_end_intervals`.
-    Pass ``disjoint=False`` when ranges may overlap (see :func:`overlapping_ranges`):
-    the lookup then takes the containing range with the lowest end.
+    Of overlapping ranges the lookup takes the containing one with the lowest end.
+    Whether any overlap is measured; pass ``disjoint`` only where it was measured before,
+    as for stored tables.
     """
     if mode not in ("inclusive", "compat"):
         raise ValueError(f"unknown range mode {mode!r}")
     chosen = next_end_intervals(ranges) if mode == "compat" else ranges
+    if disjoint is None and mode != "compat":
+        disjoint = overlapping_ranges(ranges).isEmpty()
     cells = range_cells(chosen.select("ip_from", "ip_to", *columns))
     profile = (
         cells.groupBy("_bits").agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(cells)).alias("size")).collect()
     )
     small = sum(r.n for r in profile) <= max_rows and sum(r["size"] for r in profile) <= max_bytes
     return RangeTable(
-        cells, tuple(columns), tuple(sorted(r["_bits"] for r in profile)), small, disjoint or mode == "compat"
+        cells, tuple(columns), tuple(sorted(r["_bits"] for r in profile)), small, bool(disjoint) or mode == "compat"
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from wayline.config import ImportConfig, ImportOptions
@@ -26,6 +26,7 @@ from wayline.operators.places import PlaceIndex, check_place_keys, lookup_place
 from wayline.operators.ranges import RangeTable, lookup_ip
 from wayline.operators.sizing import is_small
 from wayline.operators.tor import tag_relays
+from wayline.plans.report import observed
 
 
 @dataclass(frozen=True)
@@ -115,10 +116,18 @@ def enrich(rows: DataFrame, cfg: ImportConfig, options: ImportOptions, tables: L
     return rows
 
 
-def import_lines(lines: DataFrame, cfg: ImportConfig, options: ImportOptions, tables: LookupTables | None = None) -> Imported:
-    """Rows of an import as one lazy plan. Other columns of ``lines`` are carried along."""
+def import_lines(
+    lines: DataFrame, cfg: ImportConfig, options: ImportOptions, tables: LookupTables | None = None,
+    counts: Observation | None = None,
+) -> Imported:
+    """Rows of an import as one lazy plan. Other columns of ``lines`` are carried along.
+
+    ``counts`` observes the load counts (see :mod:`wayline.plans.report`) when the rows are consumed.
+    """
     options.check(cfg)
     parsed = parse(lines, cfg, options)
+    if counts is not None:
+        parsed = observed(parsed, counts)
     good, rejects = apply_reject_policy(parsed, options.rejects)
     if rejects is not None:
         extra = [c for c in parsed.columns if c not in (*cfg.order_in_file, LINE, REASON, BAD_FIELDS)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -73,23 +74,45 @@ def dry_run(df: DataFrame) -> DryRun:
     return DryRun(counted.get["rows"], time.perf_counter() - start)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, format: str = "parquet") -> None:
-    """Write one batch under its own directory; writing the same batch again replaces it."""
-    df.write.format(format).mode("overwrite").save(f"{path}/batch_id={batch_id}")
+# Names sort as text: a snapshot before everything, others by the time they were made.
+SNAPSHOT = "0-snapshot"
+FIRST = "1"
+# Column of a written batch: when the job that wrote it began.
+SESSION = "_session"
+
+
+def new_name() -> str:
+    """A name that sorts after all earlier ones."""
+    return f"{FIRST}-{time.time_ns() // 1_000_000:014d}-{uuid.uuid4().hex[:8]}"
+
+
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, format: str = "parquet", run: str = FIRST, session: str = FIRST
+) -> None:
+    """Write one batch of a run under its own directory.
+
+    Writing the same batch of the same run again replaces it; no run touches another's.
+    ``session`` orders what different runs wrote.
+    """
+    marked = df.withColumn(SESSION, F.lit(session))
+    marked.write.format(format).mode("overwrite").save(f"{path}/run={run}/batch_id={batch_id}")
 
 
 def current_documents(spark: SparkSession, path: str, id_column: str = "_id", order: str = "_seq") -> DataFrame:
-    """Latest document of each id over all batches under ``path``."""
+    """Latest document of each id over all runs and batches under ``path``."""
     written = spark.read.option("basePath", path).parquet(path)
-    return latest_by_id(written, ["batch_id", order], id_column).drop("batch_id")
+    return latest_by_id(written, [SESSION, "batch_id", order], id_column).drop("run", "batch_id", SESSION)
 
 
 def compact(spark: SparkSession, path: str, snapshot: str, id_column: str = "_id", order: str = "_seq") -> None:
-    """Write the current documents as a new snapshot directory, as batch 0 of it."""
+    """Write the current documents as a new snapshot, which later batches can follow.
+
+    The snapshot is a run of its own, before all others, so no batch overwrites it.
+    """
     try:
         exists = bool(spark.read.parquet(snapshot).take(1))
     except AnalysisException:
         exists = False
     if exists:
         raise ValueError(f"snapshot {snapshot} already holds data")
-    current_documents(spark, path, id_column, order).write.mode("overwrite").parquet(f"{snapshot}/batch_id=0")
+    write_batch(current_documents(spark, path, id_column, order), snapshot, 0, run=SNAPSHOT, session=SNAPSHOT)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UNDECODABLE = "\ufffd"
+# Never a character of a text, so it can stand for "no quote".
+NONCHARACTER = "\uffff"
 
 
 # Where a row was read: file and split offset. Only there when asked for.
@@ -31,8 +33,8 @@ def scan_lines(spark: SparkSession, path: str | list[str], skip_header: bool = F
                max_files_per_trigger: int | None = None, positions: bool = False) -> DataFrame:
     """Lines of text files as column ``value``; bytes that are not UTF-8 are dropped.
 
-    With ``skip_header`` the first line of each file is left out, and so are blank
-    lines. The text stays whole: no quoting, no escaping. ``positions`` adds what
+    With ``skip_header`` the first line of each file is left out, and so are lines of
+    blanks and control characters alone. The text stays whole: no quoting, no escaping. ``positions`` adds what
     :func:`with_order` needs.
     """
     reader = spark.readStream if stream else spark.read
@@ -40,12 +42,13 @@ def scan_lines(spark: SparkSession, path: str | list[str], skip_header: bool = F
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if skip_header:
         reader = (
-            reader.schema("value string").option("header", True).option("enforceSchema", True)
-            .option("sep", "\u0001").option("quote", "").option("escape", "").option("comment", "")
+            reader.schema("value string, _whole string").option("columnNameOfCorruptRecord", "_whole").option("header", True).option("enforceSchema", True)
+            .option("sep", "\u0001").option("quote", NONCHARACTER).option("escape", NONCHARACTER).option("comment", "")
             .option("maxCharsPerColumn", -1).option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
         )
-        lines = reader.csv(path)
+        # A line that holds the separator does not fit the schema, so the reader hands it over whole.
+        lines = reader.csv(path).withColumn("value", F.coalesce("_whole", "value"))
     else:
         lines = reader.text(path)
     return lines.select(_clean(F.col("value"), decoded=skip_header).alias("value"), *([read_position()] if positions else []))
