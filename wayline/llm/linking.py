@@ -70,8 +70,22 @@ def linked(pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], D
     rest = stored(rest, "links_across")
     if rest.isEmpty():
         return links, found
-    links = stored(links.unionByName(verified(rest, sets)), "links_all")
-    return links, components(links)
+    more = stored(verified(rest, sets), "links_more")
+    return links.unionByName(more), _merged(found, more)
+
+
+def _merged(found: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after more links: those link components, so only these are gone through again."""
+    ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    alone = ends.join(found, "node", "left_anti").select("node", F.col("node").alias("component"))
+    placed = stored(found.unionByName(alone), "link_placed_nodes")
+    a = placed.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+    b = placed.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
+    across = more.join(a, "a").join(b, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    joined = components(across).select(F.col("node").alias("of"), F.col("component").alias("whole"))
+    return placed.join(joined, F.col("component") == F.col("of"), "left").select(
+        "node", F.coalesce("whole", "component").alias("component")
+    )
 
 
 def _across(blocks: DataFrame, found: DataFrame) -> DataFrame:
