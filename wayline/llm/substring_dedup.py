@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayline.llm.linking import linked, similar_sizes
-from wayline.llm.text import WordHashes, as_longs, list_array, mixed, narrow, pieces, shingles, utf8
+from wayline.llm.text import SHINGLE, WordHashes, as_longs, list_array, mixed, narrow, pieces, shingles, utf8, windows
 from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
 
@@ -34,18 +34,40 @@ LEAST = 20
 BANDS = 16
 ROWS = 4
 LARGE = 32
+# Words of the lines that a task hashes together.
+WORDS_AT_ONCE = 131_072
 
 _SEEDS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 
 
-def bands(items: np.ndarray) -> np.ndarray:
-    """One key per band of a paragraph's minimum hashes."""
-    least = np.array([((items ^ s) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(11)).min() for s in _SEEDS], dtype=np.uint64)
-    rows = least.reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for r in range(ROWS):
-        key = mixed(key ^ rows[:, r])
-    return key
+def bands(items: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Minimum-hash keys of the sets that begin at ``starts`` in ``items``: a row of one key per band for each."""
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(starts), axis=0)
+    if not len(starts):
+        return keys
+    for number, seed in enumerate(_SEEDS):
+        least = np.minimum.reduceat((items ^ seed) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(11), starts)
+        band = number // ROWS
+        keys[:, band] = mixed(keys[:, band] ^ least)
+    return keys
+
+
+def line_shingles(lines: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of lines of five words or more, one line after the other, and where each begins."""
+    lengths = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    if not len(lines):
+        return np.empty(0, dtype=np.uint64), lengths
+    found, whole = windows(hashes.of([w for words in lines for w in words]))
+    line = np.repeat(np.arange(len(lines)), lengths)[:whole]
+    # Windows that run on into the next line are no shingles.
+    inside = line == np.repeat(np.arange(len(lines)), lengths)[SHINGLE - 1 :]
+    found, line = found[inside], line[inside]
+    order = np.lexsort((found, line))
+    found, line = found[order], line[order]
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = (found[1:] != found[:-1]) | (line[1:] != line[:-1])
+    found, line = found[new], line[new]
+    return found, np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
 
 
 PARAGRAPHS = "doc_id bigint, row bigint, line_no int, node bigint, n bigint, bands array<bigint>"
@@ -53,23 +75,37 @@ PARAGRAPHS = "doc_id bigint, row bigint, line_no int, node bigint, n bigint, ban
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
+    places: list[tuple[int | None, int, int]] = []
+    lines: list[list[bytes]] = []
+
+    def report() -> pa.RecordBatch:
+        items, starts = line_shingles(lines, hashes)
+        ends = np.append(starts[1:], len(items)) if len(starts) else starts
+        docs, texts, nos = zip(*places) if places else ((), (), ())
+        batch = pa.record_batch({
+            "doc_id": pa.array(docs, pa.int64()), "row": pa.array(texts, pa.int64()), "line_no": pa.array(nos, pa.int32()),
+            "node": pa.array([_node(items[a:b]) for a, b in zip(starts, ends)], pa.int64()),
+            "n": pa.array(ends - starts, pa.int64()), "bands": list_array(list(as_longs(bands(items, starts))), pa.int64()),
+        })
+        places.clear()
+        lines.clear()
+        return batch
+
+    held = 0
     for batch in pieces(batches):
-        docs, texts, nos, nodes, sizes, keys = [], [], [], [], [], []
         for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), utf8(batch, "text")):
             for no, line in enumerate((text or b"").split(b"\n")):
-                if len(line) < 2 * LEAST - 1 or len(line.split()) < LEAST:
+                if len(line) < 2 * LEAST - 1:
                     continue
-                items = shingles(line, hashes)
-                docs.append(doc)
-                texts.append(row)
-                nos.append(no)
-                nodes.append(_node(items))
-                sizes.append(len(items))
-                keys.append(as_longs(bands(items)))
-        yield pa.record_batch({
-            "doc_id": pa.array(docs, pa.int64()), "row": pa.array(texts, pa.int64()), "line_no": pa.array(nos, pa.int32()),
-            "node": pa.array(nodes, pa.int64()), "n": pa.array(sizes, pa.int64()), "bands": list_array(keys, pa.int64()),
-        })
+                words = line.lower().split()
+                if len(words) >= LEAST:
+                    places.append((doc, row, no))
+                    lines.append(words)
+                    held += len(words)
+                    if held >= WORDS_AT_ONCE:
+                        yield report()
+                        held = 0
+    yield report()
 
 
 def _node(items: np.ndarray) -> int:

@@ -50,6 +50,12 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+def windows(h: np.ndarray) -> tuple[np.ndarray, int]:
+    """Hash of each run of five words, by the word it begins at, and how many there are."""
+    end = max(len(h) - SHINGLE + 1, 0)
+    return mixed(sum(h[k : end + k] * _ODD[k] for k in range(SHINGLE))), end
+
+
 def shingles(text: bytes, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the five-word shingles of a UTF-8 text.
 
@@ -62,8 +68,7 @@ def shingles(text: bytes, hashes: WordHashes) -> np.ndarray:
     if len(h) < SHINGLE:
         whole = (h * _ODD[: len(h)]).sum(dtype=np.uint64) + np.uint64(len(h))
         return mixed(np.array([whole], dtype=np.uint64))
-    end = len(h) - SHINGLE + 1
-    return np.unique(mixed(sum(h[k : end + k] * _ODD[k] for k in range(SHINGLE))))
+    return np.unique(windows(h)[0])
 
 
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
