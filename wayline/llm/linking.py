@@ -3,9 +3,10 @@
 A block is a list of nodes of which any two may be similar. Emitting all pairs of a large
 block would grow with its square, so the nodes of a block first meet its smallest node
 only. What that links, together with the links of all pairs, forms components; after
-that only nodes of one block in different components can still change the result, and
-just these are compared. No candidate pair is dropped: it is either compared or already
-joined by other links.
+that only nodes of one block in different components can still change the result. These
+meet a few drawn nodes of the block, some turns over, which joins most of what belongs
+together; the pairs that are left in different components are all compared. No candidate
+pair is dropped: it is either compared or already joined by other links.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from wayline.scratch import stored
 
 # Similarity as a fraction of whole numbers, so that comparisons are exact.
 PERCENT = 75
+# After the first links, so many drawn nodes of a block meet the others, so many times.
+HEADS = 8
+TURNS = 3
 
 
 def similar_sizes(a: Column, b: Column) -> Column:
@@ -61,13 +65,21 @@ def linked(pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], D
     star = stored(star.distinct().join(pairs, ["a", "b"], "left_anti"), "link_stars")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(blocks.select("node")).distinct()
     sets = stored(sets_of(nodes), "link_sets")
-    links = stored(verified(pairs.unionByName(star), sets), "links_first")
+    tested = pairs.unionByName(star)
+    links = stored(verified(tested, sets), "links_first")
     found = components(links)
     if blocks.isEmpty():
         return links, found
+    for turn in range(TURNS):
+        found = stored(found, "link_components")
+        mixed = stored(_mixed(blocks, found), "link_mixed")
+        met = stored(_headed(mixed, turn).join(tested, ["a", "b"], "left_anti"), "link_heads")
+        if met.isEmpty():
+            break
+        more = stored(verified(met, sets), "links_headed")
+        tested, links, found = tested.unionByName(met), links.unionByName(more), _merged(found, more)
     found = stored(found, "link_components")
-    rest = _across(blocks, found).join(star, ["a", "b"], "left_anti").join(pairs, ["a", "b"], "left_anti")
-    rest = stored(rest, "links_across")
+    rest = stored(_across(_mixed(blocks, found)).join(tested, ["a", "b"], "left_anti"), "links_across")
     if rest.isEmpty():
         return links, found
     more = stored(verified(rest, sets), "links_more")
@@ -88,32 +100,53 @@ def _merged(found: DataFrame, more: DataFrame) -> DataFrame:
     )
 
 
-def _across(blocks: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of one block in different components that sizes and rests allow."""
+def _mixed(blocks: DataFrame, found: DataFrame) -> DataFrame:
+    """The blocks with nodes of different components, and the component of each node."""
     placed = blocks.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    parts = placed.groupBy("block", "component").agg(
-        F.min("size").alias("low"), F.max("size").alias("high"), F.max("rest").alias("rest"),
-        F.count(F.lit(1)).alias("nodes"),
+    ends = placed.groupBy("block").agg(F.min("component").alias("least"), F.max("component").alias("greatest"))
+    return placed.join(ends.where("least < greatest").select("block"), "block", "left_semi")
+
+
+def _may_link(m: Column, rest_m: Column, n: Column, rest_n: Column) -> Column:
+    return similar_sizes(m, n) & (F.least(rest_m, rest_n) >= needed(m, n))
+
+
+def _headed(mixed: DataFrame, turn: int) -> DataFrame:
+    """The nodes of each mixed block with some of its nodes, others at each turn, of another component."""
+    drawn = [
+        F.min(F.struct(F.xxhash64("node", F.lit(turn * HEADS + k)).alias("draw"), "node", "component", "size", "rest"))
+        for k in range(HEADS)
+    ]
+    heads = mixed.groupBy("block").agg(F.array_distinct(F.array(*drawn)).alias("heads"))
+    others = F.filter("heads", lambda h: (h["component"] != F.col("component")) & _may_link(h["size"], h["rest"], F.col("size"), F.col("rest")))
+    met = mixed.join(heads, "block").select("node", F.explode(others).alias("head"))
+    return met.select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct()
+
+
+def _across(mixed: DataFrame) -> DataFrame:
+    """Pairs of one block in different components that sizes and rests allow."""
+    mixed = stored(mixed, "link_placed")
+    parts = stored(
+        mixed.groupBy("block", "component").agg(
+            F.min("size").alias("low"), F.max("size").alias("high"), F.max("rest").alias("rest"), F.count(F.lit(1)).alias("nodes")
+        ), "link_parts",
     )
-    mixed = parts.groupBy("block").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("block")
-    parts = stored(parts.join(mixed, "block", "left_semi"), "link_parts")
     p, q = parts.alias("p"), parts.alias("q")
     meets = (
         (F.col("p.block") == F.col("q.block")) & (F.col("p.component") < F.col("q.component"))
         & (F.col("p.high") * 100 >= F.col("q.low") * PERCENT) & (F.col("q.high") * 100 >= F.col("p.low") * PERCENT)
         & (F.least("p.rest", "q.rest") >= needed(F.col("p.low"), F.col("q.low")))
     )
-    parted = p.join(q.hint("merge"), meets).select(
-        "p.block", F.col("p.component").alias("c"), F.col("q.component").alias("d"), F.col("p.nodes").alias("cs"), F.col("q.nodes").alias("ds")
+    c, d = F.col("p.component"), F.col("q.component")
+    fewer = F.col("p.nodes") <= F.col("q.nodes")
+    meeting = p.join(q.hint("merge"), meets).select(
+        "p.block", F.when(fewer, c).otherwise(d).alias("lesser"), F.when(fewer, d).otherwise(c).alias("other")
+    )
+    # The nodes of the lesser one, which are few rows, go to those of the other.
+    x = mixed.select("block", F.col("component").alias("lesser"), F.col("node").alias("x"), F.col("size").alias("m"), F.col("rest").alias("rest_x"))
+    y = mixed.select(
+        F.col("block").alias("in"), F.col("component").alias("of"), F.col("node").alias("y"), F.col("size").alias("n"), F.col("rest").alias("rest_y")
     )
-    placed = stored(placed.join(mixed, "block", "left_semi"), "link_placed")
-    # Of two components the nodes of the lesser one in the block meet all nodes of the other,
-    # once for all blocks.
-    sized = stored(parted.select("block", F.when(F.col("cs") <= F.col("ds"), F.struct(F.col("c").alias("lesser"), F.col("d").alias("other")))
-        .otherwise(F.struct(F.col("d").alias("lesser"), F.col("c").alias("other"))).alias("s")).select("block", "s.lesser", "s.other"), "link_meetings")
-    x = placed.select("block", F.col("component").alias("lesser"), F.col("node").alias("x"), F.col("size").alias("m"))
-    meeting = sized.join(x, ["block", "lesser"]).select("other", "x", "m").distinct()
-    y = placed.select(F.col("component").alias("other"), F.col("node").alias("y"), F.col("size").alias("n")).distinct()
-    return meeting.join(y, "other").where(similar_sizes(F.col("m"), F.col("n"))).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).distinct()
+    same = (F.col("block") == F.col("in")) & (F.col("other") == F.col("of"))
+    pairs = meeting.join(x, ["block", "lesser"]).join(y, same & _may_link(F.col("m"), F.col("rest_x"), F.col("n"), F.col("rest_y")))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -6,8 +6,10 @@ bucket: two of similarity 0.75 meet with probability 0.998. Paragraphs that met
 verified by exact Jaccard similarity of 0.75 or more and clustered by components; of each
 cluster the earliest paragraph (by document id, then line) stays and the others go.
 
-Equal paragraphs are one node. A bucket of more than ``LARGE`` nodes becomes a block, of
-which no pairs are listed (see :mod:`wayline.llm.linking`).
+Equal paragraphs are one node. Of a bucket of more than ``LARGE`` nodes no pairs are listed:
+the nodes of all such buckets meet by the rarest shingles of their sets instead, which
+misses no similar pair; where more than ``LARGE`` still share one, they form a block (see
+:mod:`wayline.llm.linking`).
 
 Defined cases: null and empty texts have no paragraph; a null document id comes last; rows
 repeated in id and text are one document; an empty table gives an empty result; other
@@ -22,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayline.llm.linking import linked, similar_sizes
+from wayline.llm.linking import linked, needed, similar_sizes
 from wayline.llm.text import SHINGLE, WordHashes, as_longs, list_array, mixed, narrow, pieces, shingles, utf8, windows
 from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
@@ -146,7 +148,6 @@ def paragraph_clusters(docs: DataFrame) -> DataFrame:
     x, y = small.alias("x"), small.alias("y")
     meets = (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & similar_sizes(F.col("x.n"), F.col("y.n"))
     pairs = x.join(y, meets).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    blocks = met.where(F.col("nodes") > LARGE).select(F.col("band").alias("block"), "node", F.col("n").alias("size"), F.col("n").alias("rest"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
         at = distinct.join(nodes, "node", "left_semi").select(F.col("place.doc").alias("doc"), "place.line_no")
@@ -156,7 +157,9 @@ def paragraph_clusters(docs: DataFrame) -> DataFrame:
         sets = rows.join(wanted, "doc_id").select("text", "nos").mapInArrow(_paragraph_sets, "node bigint, items array<bigint>")
         return sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
-    _, clusters = linked(pairs, blocks, sets_of)
+    crowded = stored(met.where(F.col("nodes") > LARGE).select("node").distinct(), "crowded_paragraphs")
+    near, blocks = _prefix_meetings(sets_of(crowded))
+    _, clusters = linked(pairs.unionByName(near), blocks, sets_of)
     placed = distinct.join(clusters, "node", "left").select("node", "place", "copies", F.coalesce("component", "node").alias("cluster"))
     placed = stored(placed, "paragraph_places")
     firsts = placed.groupBy("cluster").agg(F.min("place").alias("first"), F.sum("copies").alias("lines")).where("lines > 1")
@@ -166,6 +169,36 @@ def paragraph_clusters(docs: DataFrame) -> DataFrame:
     return joined.select("doc_id", "row", "line_no", "cluster", (F.col("first") == _place()).alias("stays")).distinct()
 
 
+def _prefix_meetings(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs and blocks (see :func:`linked`) that hold every similar pair of these sets.
+
+    In one order of all shingles, rare ones first, two sets of similarity 0.75 or more share
+    one of the first ``n/4 + 1`` of each. A paragraph changed in a few words shares a band
+    with many others changed elsewhere, but its first shingles are then its own.
+    """
+    items = stored(sets.select("node", F.size("items").cast("bigint").alias("n"), F.explode("items").alias("shingle")), "crowded_shingles")
+    often = items.groupBy("shingle").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    shared = items.join(often, "shingle")
+    of_node = Window.partitionBy("node")
+    after = F.row_number().over(of_node.orderBy("sets", "shingle")) - 1
+    # Shingles of no other set stand first.
+    placed = shared.withColumn("pos", F.col("n") - F.count(F.lit(1)).over(of_node) + after)
+    prefix = stored(placed.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * 3 / 4)).select("shingle", "node", "n", "pos"), "paragraph_prefixes")
+    counts = prefix.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
+    postings = stored(prefix.join(counts, "shingle"), "paragraph_postings")
+    small = postings.where(F.col("nodes") <= LARGE)
+    x, y = small.alias("x"), small.alias("y")
+    most = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    # At their first common shingle all that both can share still lies ahead.
+    meets = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.node") < F.col("y.node")) & similar_sizes(F.col("x.n"), F.col("y.n"))
+    meets = meets & (most >= needed(F.col("x.n"), F.col("y.n")))
+    pairs = x.join(y, meets).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    blocks = postings.where(F.col("nodes") > LARGE).select(
+        F.col("shingle").alias("block"), "node", F.col("n").alias("size"), (F.col("n") - F.col("pos")).alias("rest")
+    )
+    return pairs, blocks
+
+
 def _row() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
