@@ -138,7 +138,7 @@ def test_generated_lines_parse(spark):
     lines = generate_lines(spark.range(500))
     parsed = parse.parse_lines(lines, ("a", "b", "c", "d", "e", "f", "g"))
     assert parsed.where("_reject_reason is not null or g is null").isEmpty()
-    assert parsed.where("id = 1").first().a == "1509750001000"
+    assert parsed.where("id = 1").first().a == "1577836801000"
     assert [r.value for r in lines.collect()] == [r.value for r in generate_lines(spark.range(500)).collect()]
 
 

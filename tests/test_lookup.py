@@ -5,7 +5,7 @@ from conftest import no_nested_loops_or_python, plan_of
 from pyspark.sql import functions as F
 
 from wayline.operators.first_match import first_match
-from wayline.operators.lookup import COUNTRY, LookupSpec, key_answers, lookup, lookup_any
+from wayline.operators.lookup import COUNTRY, IP_RANGE_PLACES, LookupSpec, key_answers, lookup, lookup_any
 from wayline.operators.sizing import is_small
 
 
@@ -123,5 +123,26 @@ def test_key_subsets(table):
     answers = key_answers(df, LookupSpec(("k", "m"), ("name",)), ["k", "m"], every_subset=True).collect()
     keys = {("k", r["k"]) for r in rows} | {("m", r["m"]) for r in rows} | {(r["k"], r["m"]) for r in rows}
     assert len(answers) == len(keys)
-    with pytest.raises(ValueError):
-        key_answers(df, LookupSpec(tuple("abcde"), ()), list("abcde"), every_subset=True)
+    chosen = key_answers(df, LookupSpec(("k", "m"), ("name",)), ["k", "m"], every_subset=True, masks=[2]).collect()
+    assert {r["_mask"] for r in chosen} == {2} and len(chosen) == len({r["m"] for r in rows})
+
+
+def test_five_optional_keys(spark):
+    rows = [("US", "STATES", "TEXAS", "AUSTIN", "1", 30.0, -97.0, 1), ("US", "STATES", "OHIO", "DAYTON", "2", 39.0, -84.0, 2)]
+    table = spark.createDataFrame(rows, "country_code string, country_name string, region_name string, place_name string, zip_code string, "
+                                  "latitude double, longitude double, row_id long")
+    on = {k: k for k in IP_RANGE_PLACES.keys}
+    schema = ", ".join(f"{k} string" for k in on)
+    probes = [("us", "states", "ohio", "dayton", "2"), ("us", None, None, None, None), (None,) * 5, ("us", None, None, None, "3")]
+    probe = spark.createDataFrame(probes, schema).select(*[F.col(k).alias(f"p_{k}") for k in on])
+    found = lookup(probe, table, IP_RANGE_PLACES, {k: f"p_{k}" for k in on}, optional_keys=True)
+    got = {tuple(r[:5]): r["geo_place_name"] for r in found.collect()}
+    assert got == dict(zip(probes, ["DAYTON", "AUSTIN", None, None]))
+
+
+def test_any_key_tells_null_from_text(spark):
+    table = spark.createDataFrame([("\u0000", "X", 1.0, 2.0, 1)], "country_code string, country_name string, latitude double, longitude double, row_id long")
+    probe = spark.createDataFrame([(None, "Y"), ("\u0000", "Y"), ("", "x"), (None, None)], "code string, name string")
+    found = lookup_any(probe, table, COUNTRY, {"country_code": "code", "country_name": "name"})
+    got = {(r.code, r.name): r.geo_country_name for r in found.collect()}
+    assert got == {(None, "Y"): None, ("\u0000", "Y"): "X", ("", "x"): "X", (None, None): None}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,16 +98,15 @@ def attach(
     ``on`` pairs probe expressions with table columns. A probe column of the same name
     is overwritten where the lookup hits and kept where it misses.
     """
-    keyed = probe.withColumns({f"_p{i}": c for i, (c, _) in enumerate(on)}) if on else probe
+    if not on:
+        raise ValueError("no key to attach by")
+    keyed = probe.withColumns({f"_p{i}": c for i, (c, _) in enumerate(on)})
     side = table.select(
         *[F.col(k).alias(f"_k{i}") for i, (_, k) in enumerate(on)],
         *[F.col(c).alias(f"_v_{c}") for c in columns],
         F.lit(True).alias("_hit"),
     )
-    condition = F.lit(True)
-    for i in range(len(on)):
-        match = F.col(f"_p{i}") == F.col(f"_k{i}")
-        condition = match if i == 0 else condition & match
+    condition = reduce(lambda a, b: a & b, [F.col(f"_p{i}") == F.col(f"_k{i}") for i in range(len(on))])
     joined = keyed.join(hinted(side, small), condition if extra is None else condition & extra, "left")
     return joined.select(*_merged(probe.columns, columns, prefix))
 

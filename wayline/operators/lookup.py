@@ -14,7 +14,9 @@ from wayline.operators.first_match import attach, first_match
 from wayline.operators.sizing import is_small
 from wayline.scratch import stored
 
-MAX_KEYS = 4
+# Up to so many optional keys there is an answer for every subset of them; of more keys
+# only for the subsets that occur in a probe that can be read ahead.
+FEW_KEYS = 4
 
 
 @dataclass(frozen=True)
@@ -49,17 +51,20 @@ def _probe_key(column: str | Column) -> Column:
     return F.upper((F.col(f"`{column}`") if isinstance(column, str) else column).cast("string"))
 
 
-def key_answers(table: DataFrame, spec: LookupSpec, keys: Sequence[str], every_subset: bool = False) -> DataFrame:
+def key_answers(
+    table: DataFrame, spec: LookupSpec, keys: Sequence[str], every_subset: bool = False, masks: Sequence[int] | None = None
+) -> DataFrame:
     """Answer per key combination: attributes, location and representative point.
 
-    With ``every_subset`` there is an answer for each non-empty subset of the keys.
-    ``_mask`` tells which keys take part; the others are ''. Build it once and store it
-    when a table serves many runs.
+    With ``every_subset`` there is an answer for each non-empty subset of the keys, or
+    for those in ``masks``. ``_mask`` tells which keys take part (bit i for key i); the
+    others are ''. Build it once and store it when a table serves many runs.
     """
-    if every_subset and len(keys) > MAX_KEYS:
-        raise ValueError(f"at most {MAX_KEYS} keys can be optional")
-    sizes = range(1, len(keys) + 1) if every_subset else [len(keys)]
-    subsets = [set(s) for n in sizes for s in combinations(keys, n)]
+    if masks is not None:
+        subsets = [{k for i, k in enumerate(keys) if mask >> i & 1} for mask in masks]
+    else:
+        sizes = range(1, len(keys) + 1) if every_subset else [len(keys)]
+        subsets = [set(s) for n in sizes for s in combinations(keys, n)]
     choices = F.array(
         *[
             F.struct(
@@ -89,22 +94,27 @@ def lookup(
     """Left lookup; all keys given in ``on`` (table key to probe column) must match.
 
     Probe keys are upper-cased, as table text is. With ``optional_keys`` only the keys
-    that are non-null in a row take part, and a row without any key gets nulls.
+    that are non-null in a row take part, and a row without any key gets nulls; with more
+    than :data:`FEW_KEYS` of them the probe is read once more for the key sets in use.
     ``answers`` takes a stored :func:`key_answers` result. ``small`` skips measuring.
     """
     keys = _checked(spec, on)
+    values = {k: _probe_key(on[k]) for k in keys}
+    mask = reduce(
+        lambda a, b: a + b,
+        [F.when(values[k].isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, k in enumerate(keys)],
+    )
     if answers is None:
-        answers = key_answers(table, spec, keys, every_subset=optional_keys)
+        masks = None
+        if optional_keys and len(keys) > FEW_KEYS and not probe.isStreaming:
+            # At most 2 ** len(keys) numbers; without any key in the probe one subset stands for none.
+            masks = [m for (m,) in probe.select(mask).distinct().collect() if m] or [1]
+        answers = key_answers(table, spec, keys, every_subset=optional_keys, masks=masks)
         if small is None:
-            small = is_small(table, rows_per_row=2 ** len(keys) if optional_keys else 1)
+            small = is_small(table, rows_per_row=(len(masks) if masks else 2 ** len(keys)) if optional_keys else 1)
     elif small is None:
         small = is_small(answers)
-    values = {k: _probe_key(on[k]) for k in keys}
     if optional_keys:
-        mask = reduce(
-            lambda a, b: a + b,
-            [F.when(values[k].isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, k in enumerate(keys)],
-        )
         pairs = [(mask, "_mask")] + [(F.coalesce(values[k], F.lit("")), f"_key_{k}") for k in keys]
     else:
         pairs = [(values[k], f"_key_{k}") for k in keys]
@@ -122,24 +132,24 @@ def lookup_any(
 
     Works on the distinct key tuples, which are stored. A table row that matches a tuple through several
     keys is counted once: the join on one key leaves out rows that an earlier key
-    already brought. Matches feed the partial aggregation directly, and the stored
-    answers come back by broadcast if they measure small.
+    already brought. Matches and answers are stored; the answers come back by broadcast
+    if they measure small. A key stands in a tuple as '=' and its text, null as ''.
     """
     keys = _checked(spec, on)
     values = [_probe_key(on[k]) for k in keys]
-    wanted = [F.coalesce(v, F.lit("\u0000")).alias(f"_q{i}") for i, v in enumerate(values)]
-    tuples = stored(probe.select(*wanted).distinct(), "asked_keys")
-    needed = list(dict.fromkeys([*spec.attributes, *keys, spec.lat, spec.lon, spec.row_id]))
-    rows = table.select(*needed)
-    parts = []
-    for i, key in enumerate(keys):
-        matching = F.col(f"_q{i}") == F.col(key)
-        for j, earlier in enumerate(keys[:i]):
-            matching = matching & ~F.coalesce(F.col(earlier) == F.col(f"_q{j}"), F.lit(False))
-        parts.append(tuples.join(rows, matching))
-    matches = reduce(DataFrame.unionByName, parts)
+    wanted = [F.coalesce(F.concat(F.lit("="), v), F.lit("")) for v in values]
+    tuples = stored(probe.select(*[v.alias(f"_q{i}") for i, v in enumerate(wanted)]).distinct(), "asked_keys")
+    points = list(dict.fromkeys([spec.lat, spec.lon, spec.row_id]))
+    rows = table.select(*points, *[F.concat(F.lit("="), F.col(k).cast("string")).alias(f"_t{i}") for i, k in enumerate(keys)])
     group = [f"_q{i}" for i in range(len(keys))]
+    parts = []
+    for i in range(len(keys)):
+        matching = F.col(f"_q{i}") == F.col(f"_t{i}")
+        for j in range(i):
+            matching = matching & ~F.coalesce(F.col(f"_t{j}") == F.col(f"_q{j}"), F.lit(False))
+        parts.append(tuples.join(rows, matching).select(*group, *points))
+    matches = stored(reduce(DataFrame.unionByName, parts), "key_matches")
     answers = first_match(matches, group, spec.attributes, spec.lat, spec.lon, spec.row_id, source=table)
     answers = stored(answers, "key_answers")
-    pairs = [(F.coalesce(v, F.lit("\u0000")), f"_q{i}") for i, v in enumerate(values)]
+    pairs = [(v, f"_q{i}") for i, v in enumerate(wanted)]
     return attach(probe, answers, pairs, spec.output(), prefix, is_small(answers))

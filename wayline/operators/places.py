@@ -176,7 +176,7 @@ def place_answers(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
         asked = single.select(F.col("_query").alias("term"))
         answers = term_answers(index.rows, index.postings.join(asked, "term", "left_semi"))
     one = single.join(answers, F.col("_query") == F.col("term")).select("_query", *OUTPUT)
-    matches = _matches(queries.where(~is_single), index, op)
+    matches = stored(_matches(queries.where(~is_single), index, op), "place_matches")
     many = first_match(matches, ["_query"], ATTRIBUTES, source=index.rows)
     return one.unionByName(many)
 

@@ -386,12 +386,17 @@ def cidr_join(spark, sf_dir):
 # ---------------------------------------------------------------- place lookups
 
 
+def _place_index(spark: SparkSession, sf_dir: str) -> place_ops.PlaceIndex:
+    rows = _built(spark, sf_dir, "place_rows", lambda: place_ops.place_rows(fx.places(spark, sf_dir)))
+    postings = _built(spark, sf_dir, "place_postings", lambda: place_ops.place_postings(rows))
+    frequency = _built(spark, sf_dir, "term_frequency", lambda: place_ops.term_frequency(postings))
+    answers = _built(spark, sf_dir, "term_answers", lambda: place_ops.term_answers(rows, postings))
+    return place_ops.PlaceIndex(rows, postings, frequency, answers)
+
+
 def _place_query(on: dict[str, str], op: str = "AND", scope: str = "first_token") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = _built(spark, sf_dir, "place_rows", lambda: place_ops.place_rows(fx.places(spark, sf_dir)))
-        postings = place_ops.place_postings(rows)
-        frequency = _built(spark, sf_dir, "term_frequency", lambda: place_ops.term_frequency(postings))
-        index = place_ops.PlaceIndex(rows, postings, frequency)
+        index = _place_index(spark, sf_dir)
         return place_ops.lookup_place(fx.place_probes(spark, sf_dir), index, on, op, scope)
 
     return run
@@ -521,5 +526,12 @@ def import_by_country(spark, sf_dir):
     return import_documents(lines, fx.ACCESS_CONFIG, options, tables, keep=("ordinal",)).rows
 
 
+@query
+def import_by_place(spark, sf_dir):
+    options = ImportOptions(geo_precision="multilevel", geo_columns={"place_name": "town", "region_name": "area"})
+    tables = LookupTables(places=_place_index(spark, sf_dir))
+    return import_lines(fx.place_lines(spark, sf_dir), fx.PLACE_CONFIG, options, tables).rows
+
+
 for _name in ("scan_lines", "stream_lines", "load_report"):
     QUERIES[_name] = QUERIES.pop(_name + "_query")

@@ -21,6 +21,8 @@ ACCESS_CONFIG = ImportConfig(
     ("at", "ip", "brand", "kind", "size"),
 )
 
+PLACE_CONFIG = ImportConfig("visits", "hit", {"town": "keyword", "area": "keyword"}, ("town", "area"))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -165,6 +167,12 @@ def place_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def place_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place queries as delimited lines; a null is an empty field."""
+    fields = [F.coalesce(c, F.lit("")) for c in ("town", "area")]
+    return place_probes(spark, sf_dir).select(F.col("event_id").alias("ordinal"), F.concat_ws(";", *fields).alias("value"))
+
+
 def relay_ips(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Exit and server address sets; some exits are not servers."""
     ips = event_ips(spark, sf_dir)

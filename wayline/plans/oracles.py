@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from wayline.functions.text import ACCENTED, BASE
-
 ORACLES: dict[str, str] = {}
 
 _HASH = "((({0}) % 2147483648) * 2654435761) % 4294967296"
@@ -23,7 +21,7 @@ def _lon(key: str) -> str:
 
 def _words(text: str) -> str:
     return (
-        f"list_filter(regexp_split_to_array(translate(lower({text}), '{ACCENTED}', '{BASE}'), "
+        f"list_filter(regexp_split_to_array(strip_accents(lower({text})), "
         "'[^\\p{L}\\p{N}\\p{Co}]+'), lambda t: t <> '')"
     )
 
@@ -130,10 +128,11 @@ ORACLES["scan_lines"] = f"WITH {_LINES} SELECT value FROM lines"
 ORACLES["skip_header"] = f"""WITH {_LINES} SELECT replace(value, ';abc;', ';"abc;') AS value FROM lines"""
 ORACLES["stream_lines"] = f"WITH {_FIELDS} SELECT event_id AS id, ms AS at, number AS size, kind FROM fields WHERE NOT too_many"
 _NUM = "(event_id % 2147483648)"
-ORACLES["gen_lines"] = f"""SELECT event_id AS id, concat_ws(';', (event_id * 1000 + 1509750000000)::VARCHAR,
-  '52.5720661, 52.5720661', {_dotted(f'({_NUM} * 2654435761 + 12345) % 4294967296')}, 'PotatoFriend',
-  'This is a potato and it is your friend', (({_NUM} * 7919) % 10000)::VARCHAR,
-  printf('%.4f', (({_NUM} * 104729) % 9999991) / 10000.0)) AS value FROM events"""
+ORACLES["gen_lines"] = f"""SELECT event_id AS id, concat_ws(';', (event_id * 1000 + 1577836800000)::VARCHAR,
+  printf('%.2f,%.2f', (({_NUM} * 7727) % 18001 - 9000) / 100.0, (({_NUM} * 15667) % 36001 - 18000) / 100.0),
+  {_dotted(f'({_NUM} * 2654435761 + 12345) % 4294967296')}, 'service-' || ({_NUM} % 40)::VARCHAR,
+  'request ' || event_id::VARCHAR || ' answered by node ' || ({_NUM} % 97)::VARCHAR,
+  (({_NUM} * 7919) % 5 * 100 + 100)::VARCHAR, printf('%.3f', (({_NUM} * 104729) % 9999991) / 1000.0)) AS value FROM events"""
 ORACLES["tor_set_load"] = f"SELECT DISTINCT {_HASH.format('event_id % 5000')} AS ip_int FROM events WHERE event_id % 13 <> 0"
 ORACLES["tor_export_filter"] = f"""WITH {_IPS} SELECT {_dotted('ip')} AS "IP Address" FROM ips WHERE event_id % 50 = 0"""
 
@@ -352,3 +351,9 @@ _COUNTRY_BODY = [
 ORACLES["import_by_country"] = f"""WITH {_PROBES}, {_ACCESS}, {_POINTS}, {_answers('f', 'points', 'country_code', 'country_name')}
 SELECT ordinal, 'access' AS _index, 'hit' AS _type, {_body(_COUNTRY_BODY)} AS _source
 FROM access a LEFT JOIN f ON f.country_code = upper(brand)"""
+_PLACE_GEO = ", ".join(
+    f"CASE WHEN town IS NOT NULL AND area IS NOT NULL THEN geo_{c} END AS geo_{c}"
+    for c in (*_PLACE_ATTRIBUTES, "location", "representative_point", "country_name")
+)
+ORACLES["import_by_place"] = f"""SELECT event_id AS ordinal, coalesce(town, '') AS town, coalesce(area, '') AS area, {_PLACE_GEO}
+FROM ({ORACLES["geo_place"]})"""

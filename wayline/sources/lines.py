@@ -65,24 +65,26 @@ def with_order(rows: DataFrame, name: str = "seq") -> DataFrame:
     return rows.select(*kept, order.alias(name))
 
 
-def generate_lines(ids: DataFrame, id_column: str = "id", start_ms: int = 1509750000000, separator: str = ";") -> DataFrame:
-    """Synthetic input lines of seven fields, one per id.
+def generate_lines(ids: DataFrame, id_column: str = "id", start_ms: int = 1577836800000, separator: str = ";") -> DataFrame:
+    """Synthetic access-log lines, one per id: time, position, address, service, message, status, duration.
 
-    Time moves one second per id; address, age and size are pseudo-random functions
-    of the id, so a retried task makes the same lines again.
+    Time moves one second per id; the other fields are pseudo-random functions of the
+    id, so a retried task makes the same lines again.
     """
     i = F.col(id_column).cast("bigint")
-    address = F.pmod(F.pmod(i, F.lit(2147483648)) * 2654435761 + 12345, F.lit(4294967296))
+    n = F.pmod(i, F.lit(2147483648))
+    address = F.pmod(n * 2654435761 + 12345, F.lit(4294967296))
     octets = [F.shiftright(address, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)]
-    size = (F.pmod(F.pmod(i, F.lit(2147483648)) * 104729, F.lit(9999991)) / 10000.0).cast("double")
+    lat = (F.pmod(n * 7727, F.lit(18001)) - 9000) / 100.0
+    lon = (F.pmod(n * 15667, F.lit(36001)) - 18000) / 100.0
     line = F.concat_ws(
         separator,
         (i * 1000 + start_ms).cast("string"),
-        F.lit("52.5720661, 52.5720661"),
+        F.format_string("%.2f,%.2f", lat.cast("double"), lon.cast("double")),
         F.concat_ws(".", *octets),
-        F.lit("PotatoFriend"),
-        F.lit("This is a potato and it is your friend"),
-        F.pmod(F.pmod(i, F.lit(2147483648)) * 7919, F.lit(10000)).cast("string"),
-        F.format_string("%.4f", size),
+        F.concat(F.lit("service-"), F.pmod(n, F.lit(40)).cast("string")),
+        F.concat(F.lit("request "), i.cast("string"), F.lit(" answered by node "), F.pmod(n, F.lit(97)).cast("string")),
+        (F.pmod(n * 7919, F.lit(5)) * 100 + 100).cast("string"),
+        F.format_string("%.3f", (F.pmod(n * 104729, F.lit(9999991)) / 1000.0).cast("double")),
     )
     return ids.select(i.alias("id"), line.alias("value"))
