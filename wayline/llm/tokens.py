@@ -20,14 +20,15 @@ import numpy as np
 KEPT_PIECES = 200_000
 KEPT_LENGTH = 64
 AT_ONCE = 4096
+# Pieces passed to the library as one text, which costs it less than as many short texts.
+JOINED = 32
 
 # White space of the tokenizers' patterns: Python's, without the four separators U+001C to U+001F.
 _OTHER = r"[\S\x1c-\x1f]"
 _SPACE = r"[^\S\x1c-\x1f]"
 _WORDS = re.compile(_OTHER + "+")
 _SPACED = re.compile(f"{_SPACE}*{_OTHER}+|{_SPACE}+")
-_RARE_SPACE = re.compile(r"[^\S \n]|[ \n] |\0")
-_TAIL = ".,!|;:"
+_RARE_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]|\0")
 
 
 def words(text: str) -> list[str]:
@@ -44,21 +45,15 @@ def spaced(text: str) -> list[str]:
     """
     if _RARE_SPACE.search(text):
         return _SPACED.findall(text)
-    return text.replace(" ", "\0 ").split("\0")
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
-def _leaves(piece: str) -> list[str]:
-    """Parts of a piece with a token boundary between them, which many pieces share.
-
-    Before a line break, and between a letter and closing punctuation.
-    """
-    at = piece.find("\n", 1)
-    if at > 0 and not piece[at - 1].isspace():
-        return _leaves(piece[:at]) + _leaves(piece[at:])
-    stem = piece.rstrip(_TAIL)
-    if len(stem) < len(piece) and stem[-1:].isalpha() and stem.isascii():
-        return [stem, piece[len(stem) :]]
-    return [piece]
+# What stands between joined pieces, by way of cutting: one token of its own in any
+# surroundings, which no piece that may be joined can give. A piece with its digit, or
+# with white space other than one blank or line break before it, is passed alone, and so
+# is one without such a start that the digit might run on into.
+BETWEEN = {words: "7", spaced: " 7"}
+_JOINABLE = {words: re.compile(r"[^\s\x1c-\x1f7]+"), spaced: re.compile(r"(?:[ \n][^\s\x1c-\x1f7]|[A-Za-z])[^\s\x1c-\x1f7]*")}
 
 
 class Encoder:
@@ -70,6 +65,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cut = cut
+        self.between = BETWEEN[cut]
+        self.joinable = _JOINABLE[cut].fullmatch
+        (self.mark,) = self.tokenizer.encode(self.between, add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -87,28 +85,39 @@ class Encoder:
         return ids
 
     def _learn(self, missing: set[str]) -> None:
-        known, older = self.known, self.older
-        for piece in [p for p in missing if p in older]:
-            known[piece] = older[piece]
-        new = [p for p in missing if p not in known]
-        leaves = [_leaves(p) for p in new]
-        todo = {x for found in leaves for x in found if x not in known}
-        for piece in [p for p in todo if p in older]:
-            known[piece] = older[piece]
-            todo.remove(piece)
-        order = list(todo)
-        for start in range(0, len(order), AT_ONCE):
-            part = order[start : start + AT_ONCE]
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            flat = np.fromiter(chain.from_iterable(lists), dtype="<u4").tobytes()
-            at = 0
-            for piece, ids in zip(part, lists):
-                end = at + 4 * len(ids)
-                known[piece] = flat[at:end]
-                at = end
-        for piece, found in zip(new, leaves):
-            if len(found) > 1:
-                known[piece] = b"".join([known[x] for x in found])
+        known, older, joinable = self.known, self.older, self.joinable
+        alone, together = [], []
+        for piece in missing:
+            ids = older.get(piece)
+            if ids is not None:
+                known[piece] = ids
+            elif joinable(piece):
+                together.append(piece)
+            else:
+                alone.append(piece)
+        self._encode(alone, 1)
+        self._encode(together, JOINED)
+
+    def _encode(self, pieces: list[str], joined: int) -> None:
+        """Learn the ids of pieces, passed to the library so many at once as one text."""
+        known = self.known
+        for start in range(0, len(pieces), AT_ONCE):
+            some = pieces[start : start + AT_ONCE]
+            texts = [self.between.join(some[i : i + joined]) for i in range(0, len(some), joined)]
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(lists), dtype="<u4")
+            ends = np.cumsum([len(ids) for ids in lists])
+            if joined > 1:
+                # A piece ends at each mark, which is left out, and with its text.
+                marks = np.flatnonzero(flat == self.mark)
+                starts = np.sort(np.concatenate([marks + 1, ends - np.array([len(x) for x in lists])]))
+                ends = np.sort(np.concatenate([marks, ends]))
+            else:
+                starts = np.concatenate([[0], ends[:-1]])
+            if len(starts) != len(some):
+                raise RuntimeError("the tokenizer did not keep joined pieces apart")
+            ids = flat.tobytes()
+            known.update(zip(some, [ids[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]))
 
 
 CUTS = {"words": words, "spaced": spaced}
