@@ -275,6 +275,20 @@ def test_language(spark):
     assert {r["doc_id"] for r in langid.known_language(docs).collect()} == {i for i, *_ in data if i < 900}
 
 
+def test_texts_of_no_known_language_go(spark):
+    ship(spark)
+    rng = np.random.default_rng(6)
+    words = {"en": ["the", "and", "with", "water", "stone", "under"], "de": ["und", "nicht", "schön", "über", "wasser", "stein"]}
+    data = [(i, " ".join(rng.choice(words[lang], int(rng.integers(6, 90)))), lang) for i, lang in enumerate(list(words) * 150)]
+    hidden = "".join(rng.choice(list(secret_scan.ENCODINGS[5]), 400))
+    junk = [hidden, "x" * 300, "7f3a09" * 60, "Съешь ещё этих мягких французских булок " * 5, "qzx jvw kqp zzv xjq wvk pqz " * 12]
+    data += [(1000 + i, t, None) for i, t in enumerate(junk)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+    kept = {r["doc_id"] for r in langid.known_language(docs).collect()}
+    assert kept == {i for i, *_ in data if i < 1000}
+    assert {r["doc_id"] for r in langid.known_language(docs, 0.0).collect()} == {i for i, *_ in data}
+
+
 def test_packing(docs, rows, empty):
     path = public_path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)

@@ -10,6 +10,13 @@ neighbouring bytes are summed beforehand, so each byte pair costs one table row.
 Defined cases: a text that is null or holds no letter is ``und`` with score 0, and so is
 every text if no labelled one exists; ties go to the language first in code-point order;
 repeated rows are predicted each; other columns are never inputs.
+
+The filter :func:`known_language` trains the network with one more class, ``und``: texts made
+from the labelled ones that are of no language (see :func:`noise`). A text's score is its
+highest probability of a language. The least score a text must reach comes from every fifth
+of the labelled documents, which training leaves out: per length class they are cut to its
+shortest length, and half of what all but :data:`SHARE` of them reach is asked for, so that
+documents of the known languages stay.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from wayline.llm.text import narrow, pieces, utf8
@@ -32,6 +39,16 @@ DOCUMENTS = 800
 WINDOWS = 4
 EPOCHS = 12
 UNKNOWN = "und"
+# Every fifth chosen document of a language sets the least scores, by length classes that
+# begin at these byte counts; a shorter text cannot be judged.
+EVERY = 5
+FLOORS = (4, 8, 16, 32, 64, 128, 256)
+SHARE = 0.005
+MARGIN = 0.5
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_SYMBOLS = ("0123456789abcdef", _LETTERS, _LETTERS.upper() + _LETTERS + "0123456789+/", "".join(map(chr, range(33, 127))))
+# Greek, Cyrillic, Hebrew, Arabic, Devanagari, Thai, Kana, Han, Hangul.
+_SCRIPTS = (0x370, 0x400, 0x590, 0x620, 0x900, 0xE00, 0x3040, 0x4E00, 0xAC00)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -147,14 +164,12 @@ class Predictor:
         return sums / np.bincount(owner, weights=size)[:, None]
 
 
-def fit(docs: DataFrame) -> Network | None:
-    """Train on a bounded, repeatable choice of labelled documents outside the held-out fold.
+def _chosen(docs: DataFrame) -> list[Row]:
+    """A bounded, repeatable choice of labelled documents outside the held-out fold.
 
     Per language the :data:`DOCUMENTS` documents with the lowest hash, of each at most the
-    first 64 windows; None without any.
+    first 64 windows.
     """
-    from pyspark.sql import Window
-
     labelled = narrow(docs, "doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(F.col("doc_id")), F.lit(False))
     ).withColumn("order", F.xxhash64(F.lit(11), "doc_id"))
@@ -162,14 +177,74 @@ def fit(docs: DataFrame) -> Network | None:
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
     ).where(F.col("rank") <= DOCUMENTS)
     last = chosen.groupBy("lang").agg(F.max("order").alias("last"))
-    rows = labelled.join(F.broadcast(last), "lang").where("order <= last").select(
+    return labelled.join(F.broadcast(last), "lang").where("order <= last").select(
         "lang", "order", F.substring("text", 1, 64 * WINDOW).alias("text")
     ).orderBy("lang", "order", "text").collect()
+
+
+def fit(docs: DataFrame) -> Network | None:
+    """Train on the chosen documents; None without any."""
+    rows = _chosen(docs)
     if not rows:
         return None
     return train([r["text"].encode() for r in rows], [r["lang"] for r in rows])
 
 
+def noise(text: str, kind: int, rng: np.random.Generator) -> str:
+    """A text of no language: letters renamed, in another script, drawn symbols, or a few of them repeated."""
+    letters = sorted({c for c in text.lower() if c.isalpha()} | set(_LETTERS))
+    if kind == 0:
+        return text.translate({ord(a): b for a, b in zip(letters, rng.permutation(letters).tolist())})
+    if kind == 1:
+        first = _SCRIPTS[rng.integers(len(_SCRIPTS))]
+        return text.lower().translate({ord(a): chr(first + b) for a, b in zip(letters, rng.integers(0, 80, len(letters)).tolist())})
+    symbols = list(_SYMBOLS[rng.integers(len(_SYMBOLS))])
+    if kind == 2:
+        return "".join(rng.choice(symbols, len(text)))
+    return ("".join(rng.choice(symbols, rng.integers(1, 6))) * len(text))[: len(text)]
+
+
+def language_scores(predictor: Predictor, texts: list[bytes]) -> np.ndarray:
+    """Highest probability of a language for each text."""
+    found = predictor.texts(texts)[:, [name != UNKNOWN for name in predictor.net.languages]]
+    return found.max(axis=1, initial=0.0)
+
+
+def least_scores(net: Network, texts: list[bytes]) -> np.ndarray:
+    """Score that a text must reach, by length class; class 0 is shorter than all :data:`FLOORS`."""
+    predictor, least = Predictor(net), [0.0]
+    for floor in FLOORS:
+        cut = [t[:floor] for t in texts if len(t) >= floor]
+        least.append(MARGIN * np.quantile(language_scores(predictor, cut), SHARE, method="lower") if cut else least[-1])
+    return np.array(least)
+
+
+def fit_known(docs: DataFrame, seed: int = 7) -> tuple[Network, np.ndarray] | None:
+    """A network that also knows noise, and the least scores; None without labelled documents.
+
+    Where no language has :data:`EVERY` documents the training documents set the scores.
+    """
+    rows = _chosen(docs)
+    if not rows:
+        return None
+    rng = np.random.default_rng(seed)
+    ranks: dict[str, int] = {}
+    texts, labels, apart = [], [], []
+    for r in rows:
+        rank = ranks[r["lang"]] = ranks.get(r["lang"], 0) + 1
+        if rank % EVERY == 0:
+            apart.append((r["text"].encode(), r["lang"]))
+            continue
+        texts.append(r["text"].encode())
+        labels.append(r["lang"])
+        if rank % 2:
+            texts.append(noise(r["text"][: WINDOWS * WINDOW], rank // 2 % 4, rng).encode())
+            labels.append(UNKNOWN)
+    net = train(texts, labels)
+    measured = [t for t, lang in apart or zip(texts, labels) if lang != UNKNOWN]
+    return net, least_scores(net, measured)
+
+
 PREDICTED = "doc_id bigint, held_out boolean, lang_pred string, score double"
 
 
@@ -208,22 +283,25 @@ def language_report(docs: DataFrame) -> DataFrame:
     return predict(docs, fit(docs))
 
 
-def known_language(docs: DataFrame, min_score: float = 0.0) -> DataFrame:
-    """The documents whose language is known; those of ``und`` or a lower score go.
+def known_language(docs: DataFrame, min_score: float | None = None) -> DataFrame:
+    """The documents whose language is known; those without a letter or of a lower score go.
 
-    Rows pass through as they are, next to their prediction, so nothing is joined.
+    The score to reach is measured (see :func:`fit_known`) unless ``min_score`` gives one for
+    all lengths. Rows pass through as they are, next to their prediction, so nothing is joined.
     """
-    net = fit(docs)
+    fitted = fit_known(docs)
     kept = [f for f in docs.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predictor = Predictor(net) if net else None
+        predictor = Predictor(fitted[0]) if fitted else None
         for batch in pieces(batches):
             letters = np.array(batch.column("_letters").to_pylist(), dtype=bool)
             good = np.zeros(batch.num_rows, dtype=bool)
             if predictor and letters.any():
                 texts, rows = utf8(batch, "text"), np.flatnonzero(letters)
-                good[rows] = predictor.texts([texts[i] for i in rows]).max(axis=1) >= min_score
+                texts = [texts[i] for i in rows]
+                least = fitted[1][np.searchsorted(FLOORS, [len(t) for t in texts], side="right")] if min_score is None else min_score
+                good[rows] = language_scores(predictor, texts) >= least
             yield batch.select([f.name for f in kept]).filter(pa.array(good))
 
     marked = docs.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
