@@ -219,6 +219,41 @@ def test_paragraphs_repeat_across_documents(spark):
     assert found == {1: "", 2: "0", 3: "0", 4: ""}
 
 
+def test_passages_in_long_lines_and_over_wrapped_lines(spark):
+    """Every run of 50 words that two texts share, by brute force."""
+    ship(spark)
+    rng = np.random.default_rng(31)
+
+    def own(n):
+        return [f"w{rng.integers(10**9)}" for _ in range(n)]
+
+    def wrapped(words, width):
+        return "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+    texts = []
+    for k in range(12):
+        run = own(50 + k)
+        around = [own(int(rng.integers(5, 60))) for _ in range(4)]
+        texts.append(wrapped(around[0] + run + around[1], 1000 if k % 2 else 11))
+        texts.append(wrapped(around[2] + run + around[3], 1000 if k % 3 else 13))
+    texts += [wrapped(own(200), 12), wrapped(own(90), 90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in substring_dedup.repeat_report(docs).collect()}
+    left = {r["doc_id"]: r["text"].split() for r in substring_dedup.remove_repeats(docs).collect()}
+    words = [t.split() for t in texts]
+    runs = [{tuple(w[i : i + 50]) for i in range(len(w) - 49)} for w in words]
+    for i, w in enumerate(words):
+        shared = [j for j in range(len(words)) if j != i and runs[i] & runs[j]]
+        assert (found[i]["n_repeated"] > 0) == bool(shared), i
+        both = {x for j in shared for x in w if x in set(words[j])}
+        if shared and min(shared) < i:
+            kept = [x for x in left[i] if x in both]
+            assert found[i]["n_removed"] > 0 and len(kept) <= 2 * (substring_dedup.ANCHORS - 1), i
+            assert [x for x in w if x not in both] == [x for x in left[i] if x not in both]
+        else:
+            assert left[i] == w and found[i]["n_removed"] == 0, i
+
+
 def test_graph_search_recall_and_edges(spark):
     ship(spark)
     rng = np.random.default_rng(4)

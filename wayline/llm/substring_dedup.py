@@ -1,7 +1,7 @@
 """Substring dedup: repeated paragraphs by MinHash banding, verified and clustered.
 
-A paragraph is a line of at least ``LEAST`` words. Its set is its distinct five-word
-shingles. Of 64 minimum hashes, 16 bands of four send paragraphs that share a band to one
+A paragraph is a line of at least ``LEAST`` words, or neighbouring shorter lines up to a blank
+one that hold so many together. Its set is its distinct five-word shingles. Of 64 minimum hashes, 16 bands of four send paragraphs that share a band to one
 bucket: two of similarity 0.75 meet with probability 0.998. Paragraphs that met are
 verified by exact Jaccard similarity of 0.75 or more and clustered by components; of each
 cluster the earliest paragraph (by document id, then line) stays and the others go.
@@ -11,6 +11,14 @@ the nodes of all such buckets meet by the rarest shingles of their sets instead,
 misses no similar pair; where more than ``LARGE`` still share one, they form a block (see
 :mod:`wayline.llm.linking`).
 
+A passage is a run of ``LEAST`` words anywhere in a text, over line ends too, that begins at
+an anchor: of any ``ANCHORS`` words in a row, the one whose next three words have the lowest
+hash. So anchors depend on the words alone, two texts that share ``ANCHORS + LEAST - 1`` words
+in a row share a whole passage, and a shared run is covered but for at most ``ANCHORS - 1``
+words at each end. Equal passages are found by their hash. Of equal ones the earliest stays,
+those that touch no paragraph that goes before others; the words of the others go, unless a
+passage of the same text that stays holds them too.
+
 Defined cases: null and empty texts have no paragraph; a null document id comes last; rows
 repeated in id and text are one document; an empty table gives an empty result; other
 columns are passed through by :func:`remove_repeats`. Identity of paragraphs rests on
@@ -19,6 +27,7 @@ columns are passed through by :func:`remove_repeats`. Identity of paragraphs res
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +42,7 @@ from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
 
 LEAST = 20
+ANCHORS = 8
 BANDS = 16
 ROWS = 4
 LARGE = 32
@@ -72,20 +82,70 @@ def line_shingles(lines: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndar
     return found, np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
 
 
-PARAGRAPHS = "doc_id bigint, row bigint, line_no int, node bigint, n bigint, bands array<bigint>"
+def paragraphs(text: bytes) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Number of the first line, count of lines and words of each paragraph."""
+    first, joined = 0, []
+    for no, line in enumerate([*text.split(b"\n"), b""]):
+        words = line.lower().split()
+        if words and len(words) < LEAST:
+            first = first if joined else no
+            joined += words
+            continue
+        if len(joined) >= LEAST:
+            yield first, no - first, joined
+        if words:
+            yield no, 1, words
+        joined = []
+
+
+def passages(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the passages of a text begin, given the hashes of its words, and the names of the passages."""
+    if len(h) < LEAST:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+    three = mixed(h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:] * np.uint64(0x165667B19E3779F9))
+    met = np.lib.stride_tricks.sliding_window_view(three, ANCHORS)
+    at = np.unique(met.argmin(axis=1) + np.arange(len(met)))
+    at = at[at + LEAST <= len(h)]
+    names = np.zeros(len(at), dtype=np.uint64)
+    for k in range(LEAST):
+        names = mixed(names ^ h[at + k])
+    return at, names
+
+
+PASSAGES = "doc_id bigint, row bigint, line_ends array<int>, starts array<int>, names array<bigint>"
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes = WordHashes()
+    for batch in pieces(batches):
+        ends, starts, names = [], [], []
+        for text in utf8(batch, "text"):
+            lines = [line.split() for line in (text or b"").lower().split(b"\n")]
+            at, found = passages(hashes.of([w for words in lines for w in words]))
+            ends.append(np.cumsum([len(words) for words in lines]).astype(np.int32))
+            starts.append(at.astype(np.int32))
+            names.append(as_longs(found))
+        yield pa.record_batch({
+            "doc_id": batch.column("doc_id"), "row": batch.column("row"), "line_ends": list_array(ends, pa.int32()),
+            "starts": list_array(starts, pa.int32()), "names": list_array(names, pa.int64()),
+        })
+
+
+PARAGRAPHS = "doc_id bigint, row bigint, line_no int, line_count int, node bigint, n bigint, bands array<bigint>"
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    places: list[tuple[int | None, int, int]] = []
+    places: list[tuple[int | None, int, int, int]] = []
     lines: list[list[bytes]] = []
 
     def report() -> pa.RecordBatch:
         items, starts = line_shingles(lines, hashes)
         ends = np.append(starts[1:], len(items)) if len(starts) else starts
-        docs, texts, nos = zip(*places) if places else ((), (), ())
+        docs, texts, nos, counts = zip(*places) if places else ((), (), (), ())
         batch = pa.record_batch({
             "doc_id": pa.array(docs, pa.int64()), "row": pa.array(texts, pa.int64()), "line_no": pa.array(nos, pa.int32()),
+            "line_count": pa.array(counts, pa.int32()),
             "node": pa.array([_node(items[a:b]) for a, b in zip(starts, ends)], pa.int64()),
             "n": pa.array(ends - starts, pa.int64()), "bands": list_array(list(as_longs(bands(items, starts))), pa.int64()),
         })
@@ -96,17 +156,13 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
     for batch in pieces(batches):
         for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), utf8(batch, "text")):
-            for no, line in enumerate((text or b"").split(b"\n")):
-                if len(line) < 2 * LEAST - 1:
-                    continue
-                words = line.lower().split()
-                if len(words) >= LEAST:
-                    places.append((doc, row, no))
-                    lines.append(words)
-                    held += len(words)
-                    if held >= WORDS_AT_ONCE:
-                        yield report()
-                        held = 0
+            for no, count, words in paragraphs(text or b""):
+                places.append((doc, row, no, count))
+                lines.append(words)
+                held += len(words)
+                if held >= WORDS_AT_ONCE:
+                    yield report()
+                    held = 0
     yield report()
 
 
@@ -115,26 +171,26 @@ def _node(items: np.ndarray) -> int:
 
 
 def _paragraph_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets of the wanted lines (``nos``) of each text."""
+    """Sets of the wanted paragraphs (``nos``: first line and count) of each text."""
     hashes = WordHashes()
     for batch in pieces(batches):
         nodes, items = [], []
         for text, nos in zip(utf8(batch, "text"), batch.column("nos").to_pylist()):
             lines = (text or b"").split(b"\n")
-            for no in set(nos):
+            for no, count in {(at["line_no"], at["line_count"]) for at in nos}:
                 if no < len(lines):
-                    found = shingles(lines[no], hashes)
+                    found = shingles(b"\n".join(lines[no : no + count]), hashes)
                     nodes.append(_node(found))
                     items.append(as_longs(found))
         yield pa.record_batch({"node": pa.array(nodes, pa.int64()), "items": list_array(items, pa.int64())})
 
 
 def _place() -> Column:
-    return F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), "row", "line_no")
+    return F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc"), "row", "line_no", "line_count")
 
 
 def paragraph_clusters(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, line_no, cluster, stays`` of every paragraph that has a near copy or an equal one."""
+    """``doc_id, row, line_no, line_count, cluster, stays`` of every paragraph that has a near copy or an equal one."""
     rows = narrow(docs, "doc_id", "text")
     found = stored(rows.withColumn("row", _row()).mapInArrow(_paragraphs, PARAGRAPHS), "paragraphs")
     distinct = stored(
@@ -150,8 +206,8 @@ def paragraph_clusters(docs: DataFrame) -> DataFrame:
     pairs = x.join(y, meets).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        at = distinct.join(nodes, "node", "left_semi").select(F.col("place.doc").alias("doc"), "place.line_no")
-        wanted = at.where(F.col("doc").isNotNull()).groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("line_no").alias("nos"))
+        at = distinct.join(nodes, "node", "left_semi").select(F.col("place.doc").alias("doc"), F.struct("place.line_no", "place.line_count").alias("no"))
+        wanted = at.where(F.col("doc").isNotNull()).groupBy(F.col("doc").alias("doc_id")).agg(F.collect_set("no").alias("nos"))
         wanted = stored(wanted, "wanted")
         wanted = hinted(wanted, is_small(wanted))
         sets = rows.join(wanted, "doc_id").select("text", "nos").mapInArrow(_paragraph_sets, "node bigint, items array<bigint>")
@@ -164,9 +220,9 @@ def paragraph_clusters(docs: DataFrame) -> DataFrame:
     placed = stored(placed, "paragraph_places")
     firsts = placed.groupBy("cluster").agg(F.min("place").alias("first"), F.sum("copies").alias("lines")).where("lines > 1")
     of_node = placed.join(firsts, "cluster").select(F.col("node").alias("of"), "cluster", "first")
-    joined = found.select("doc_id", "row", "line_no", "node").join(of_node, F.col("node") == F.col("of"))
+    joined = found.select("doc_id", "row", "line_no", "line_count", "node").join(of_node, F.col("node") == F.col("of"))
     # Rows repeated in id and text have one place.
-    return joined.select("doc_id", "row", "line_no", "cluster", (F.col("first") == _place()).alias("stays")).distinct()
+    return joined.select("doc_id", "row", "line_no", "line_count", "cluster", (F.col("first") == _place()).alias("stays")).distinct()
 
 
 def _prefix_meetings(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -203,34 +259,146 @@ def _row() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def _lines(which: Column) -> Column:
+    """Line numbers of the paragraphs of a group that meet a condition."""
+    lines = F.sequence(F.col("line_no"), F.col("line_no") + F.col("line_count") - 1)
+    return F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(which, lines)))))
+
+
+def repeated_passages(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Per document its passages that repeat: ``_doc, _of, line_ends, goes, stays``, the latter where they begin.
+
+    ``gone`` has the lines that go as paragraphs (``_doc, _of, _gone``).
+    """
+    found = stored(rows.withColumn("row", _row()).mapInArrow(_passages, PASSAGES).dropDuplicates(["doc_id", "row"]), "passages")
+    each = found.select("doc_id", "row", F.explode(F.arrays_zip("starts", "names")).alias("p")).select(
+        "doc_id", "row", F.col("p.starts").alias("start"), F.col("p.names").alias("name")
+    )
+    often = each.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("name").alias("of"))
+    again = each.join(often, F.col("name") == F.col("of")).groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "name")).alias("again"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_of"))
+    # The words of lines that go, as intervals of word numbers.
+    before = lambda no: F.coalesce(F.get("line_ends", no - 1), F.lit(0))
+    lost = F.transform("_gone", lambda no: F.struct(before(no).alias("first"), F.get("line_ends", no).alias("end")))
+    mine, its = F.col("doc_id").eqNullSafe(F.col("d")), F.col("row") == F.col("r")
+    placed = again.join(found.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "line_ends"), mine & its).drop("d", "r")
+    placed = placed.join(gone.select("_doc", "_of", "_gone"), same, "left")
+    placed = placed.withColumn("lost", F.when(F.size("_gone") > 0, lost)).select("doc_id", "row", F.explode("again").alias("p"), "lost")
+    touches = F.coalesce(F.exists("lost", lambda x: (x["first"] < F.col("p.start") + LEAST) & (x["end"] > F.col("p.start"))), F.lit(False))
+    place = F.struct(touches.alias("touches"), F.col("doc_id").isNull().alias("last"), "doc_id", "row", F.col("p.start").alias("start"))
+    placed = stored(placed.select(F.col("p.name").alias("name"), place.alias("place")), "passage_places")
+    firsts = placed.groupBy("name").agg(F.min("place").alias("first")).select(F.col("name").alias("of"), "first")
+    told = placed.join(firsts, F.col("name") == F.col("of")).select("place.doc_id", "place.row", "place.start", (F.col("place") == F.col("first")).alias("stay"))
+    told = told.groupBy("doc_id", "row").agg(
+        F.collect_list(F.when(~F.col("stay"), F.col("start"))).alias("goes"), F.collect_list(F.when(F.col("stay"), F.col("start"))).alias("stays")
+    )
+    counts = found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_of"), "line_ends")
+    return told.join(counts, same).select("_doc", "_of", "line_ends", "goes", "stays")
+
+
+REMOVALS = "_doc bigint, _of bigint, _gone array<int>, _parts array<struct<line:int,first:int,end:int>>, _repeated bigint"
+
+
+def _runs(marked: np.ndarray) -> list[tuple[int, int]]:
+    edges = np.flatnonzero(np.diff(np.r_[0, marked.astype(np.int8), 0]))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines that go whole, parts of others, and how many paragraphs and runs of passages repeat."""
+    for batch in batches:
+        gone, parts, repeated = [], [], []
+        for r in batch.select(["_lines", "_all", "_repeated", "line_ends", "goes", "stays"]).to_pylist():
+            whole, cut, count = set(r["_lines"] or ()), [], r["_repeated"] or 0
+            if r["line_ends"]:
+                ends = r["line_ends"]
+                spans = list(zip([0, *ends[:-1]], ends))
+                goes, again, known = (np.zeros(ends[-1], dtype=bool) for _ in range(3))
+                for at in r["goes"]:
+                    goes[at : at + LEAST] = again[at : at + LEAST] = True
+                for at in r["stays"]:
+                    goes[at : at + LEAST] = False
+                    again[at : at + LEAST] = True
+                for no in r["_all"] or ():
+                    known[slice(*spans[no])] = True
+                count += sum(not known[a:b].all() for a, b in _runs(again))
+                for no, (a, b) in enumerate(spans):
+                    if a < b and no not in whole and goes[a:b].any():
+                        if goes[a:b].all():
+                            whole.add(no)
+                        else:
+                            cut += [{"line": no, "first": x, "end": y} for x, y in _runs(goes[a:b])]
+            gone.append(sorted(whole))
+            parts.append(cut)
+            repeated.append(count)
+        part = pa.struct([("line", pa.int32()), ("first", pa.int32()), ("end", pa.int32())])
+        yield pa.record_batch({
+            "_doc": batch.column("_doc"), "_of": batch.column("_of"), "_gone": pa.array(gone, pa.list_(pa.int32())),
+            "_parts": pa.array(parts, pa.list_(part)), "_repeated": pa.array(repeated, pa.int64()),
+        })
+
+
 def _removals(docs: DataFrame) -> DataFrame:
-    """Per document the numbers of the lines that go, and whether it holds a first copy."""
-    lines = paragraph_clusters(docs)
-    gone = F.filter(F.array_sort(F.collect_set(F.when(~F.col("stays"), F.col("line_no")))), lambda x: x.isNotNull())
-    return lines.groupBy("doc_id", "row").agg(gone.alias("gone"), F.count(F.lit(1)).alias("repeated")).select(
-        F.col("doc_id").alias("_doc"), F.col("row").alias("_of"), F.col("gone").alias("_gone"), F.col("repeated").alias("_repeated")
+    """Per document with repeats the lines that go, the parts of lines (words ``first`` to before ``end``), and how many repeat."""
+    of = paragraph_clusters(docs).groupBy("doc_id", "row").agg(
+        _lines(~F.col("stays")).alias("_gone"), _lines(F.lit(True)).alias("_all"), F.count(F.lit(1)).alias("_repeated")
+    )
+    of = stored(of.withColumnsRenamed({"doc_id": "_doc", "row": "_of"}), "paragraph_lines")
+    found = repeated_passages(narrow(docs, "doc_id", "text"), of)
+    lines = of.select(F.col("_doc").alias("d"), F.col("_of").alias("o"), F.col("_gone").alias("_lines"), "_all", "_repeated")
+    both = found.join(lines, F.col("_doc").eqNullSafe(F.col("d")) & (F.col("_of") == F.col("o")), "full").select(
+        F.when(F.col("_of").isNull(), F.col("d")).otherwise(F.col("_doc")).alias("_doc"), F.coalesce("_of", "o").alias("_of"),
+        "_lines", "_all", "_repeated", "line_ends", "goes", "stays",
     )
+    return both.mapInArrow(_cut, REMOVALS)
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:
-    """Per document its paragraphs that repeat in the corpus, and the lines that go."""
+    """Per document its paragraphs and passages that repeat in the corpus, and what goes.
+
+    ``removed_lines`` are the lines that go whole, ``removed_words`` parts of others as
+    ``line:first-end`` in words, the end exclusive; ``n_removed`` counts both.
+    """
     rows = narrow(docs, "doc_id", "text")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_of"))
     joined = rows.select("doc_id", _row().alias("row")).join(_removals(rows), same, "left")
     gone = F.coalesce("_gone", F.array().cast("array<int>"))
+    parts = F.transform("_parts", lambda p: F.format_string("%d:%d-%d", p["line"], p["first"], p["end"]))
+    parts = F.coalesce(parts, F.array().cast("array<string>"))
     return joined.select(
-        "doc_id", F.coalesce("_repeated", F.lit(0)).alias("n_repeated"), F.size(gone).cast("bigint").alias("n_removed"),
-        F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"),
+        "doc_id", F.coalesce("_repeated", F.lit(0)).alias("n_repeated"), (F.size(gone) + F.size(parts)).cast("bigint").alias("n_removed"),
+        F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"), F.array_join(parts, ",").alias("removed_words"),
     )
 
 
+_WORD = re.compile(rb"[^ \t\n\r\x0b\x0c]+")
+
+
+def without(text: bytes, gone: list[int], parts: list[dict[str, int]]) -> bytes:
+    """A text without some lines and parts of lines; the space after a part goes with it."""
+    lines, dropped = text.split(b"\n"), set(gone)
+    for p in sorted(parts, key=lambda p: (p["line"], -p["first"])):
+        line = lines[p["line"]]
+        places = [m.span() for m in _WORD.finditer(line)]
+        end = places[p["end"]][0] if p["end"] < len(places) else places[-1][1]
+        lines[p["line"]] = line[: places[p["first"]][0]] + line[end:]
+    return b"\n".join(line for no, line in enumerate(lines) if no not in dropped)
+
+
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches):
+        told = zip(utf8(batch, "text"), batch.column("_gone").to_pylist(), batch.column("_parts").to_pylist())
+        texts = [without(t, gone or [], parts or []) if t is not None and (gone or parts) else t for t, gone, parts in told]
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, batch.schema.field(at), pa.array(texts, pa.binary()).cast(pa.string()).cast(batch.schema.field(at).type))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """The documents without their repeated paragraphs, with the columns of ``docs``."""
+    """The documents without their repeated paragraphs and passages, with the columns of ``docs``."""
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_of"))
     joined = docs.withColumn("_row", _row()).join(_removals(docs), same, "left")
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_gone", i))
-    cut = F.col("_gone").isNotNull() & (F.size("_gone") > 0)
-    joined = joined.withColumn("text", F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text")))
+    cut = F.col("_gone").isNotNull() & (F.size("_gone") + F.size("_parts") > 0)
+    joined = joined.mapInArrow(_without, joined.schema)
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
