@@ -286,6 +286,28 @@ def test_secrets(docs, rows):
     assert found[7]["spans"] == "" and found[7]["base_sha256"] == hashlib.sha256(b"").hexdigest()
 
 
+def test_random_tokens_among_short_texts(spark):
+    """No text holds a whole cycle of length classes, yet all their letters count."""
+    ship(spark)
+    rng = np.random.default_rng(14)
+    texts = [" ".join(rng.choice(WORDS, 12)) for _ in range(3000)]
+    planted = {i: "".join(rng.choice(list(secret_scan.ENCODINGS[5]), 39)) + "7" for i in range(5, 3000, 100)}
+    texts = [f"{t} {planted[i]}" if i in planted else t for i, t in enumerate(texts)]
+    found = secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)).collect()
+    assert sum(r["n_random"] for r in found if r["doc_id"] in planted) >= 0.8 * len(planted)
+    assert sum(r["n_random"] for r in found if r["doc_id"] not in planted) == 0
+
+
+@pytest.mark.parametrize("sizes", [[7, 0, 300, 411, 413, 5000], [19], [20], [100] * 9])
+def test_all_letters_of_the_text_are_cut(sizes):
+    over, strings, letters = "", [], ["".join(chr(97 + (i + k) % 26) for k in range(n)) for i, n in enumerate(sizes)]
+    for i, text in enumerate(letters):
+        cut, over = secret_scan.text_strings(over + text, i == len(letters) - 1)
+        strings += cut
+    assert "".join(strings) + over == "".join(letters) and len(over) < 20
+    assert {len(x) for x in strings} <= set(secret_scan.LENGTHS.tolist())
+
+
 def test_random_tokens_pass_the_battery_and_text_does_not():
     rng = np.random.default_rng(8)
     random = ["".join(rng.choice(list(secret_scan.ENCODINGS[5]), 40)) for _ in range(200)]

@@ -6,7 +6,9 @@ alphabet; under the hypothesis of independent uniform symbols three tests apply:
 chi-squared uniformity over the alphabet, Wald-Wolfowitz runs about the alphabet's middle,
 and lag-one serial correlation. The score is the smallest of the three p-values, times
 three. Running text is the other hypothesis: the words of every document, of ASCII letters
-alone and joined, are cut into strings of each length class in turn and scored alike. Their
+alone and joined, are cut into strings of each length class in turn and scored alike; what
+a task's texts leave over is joined to the next one's, and its last letters are cut into the
+classes that still fit. Which words a string joins thus depends on how rows lie in tasks. Their
 counts over the whole corpus give each candidate's chance among text of its length.
 Benjamini-Hochberg over all candidates at rate ``RATE`` then sets, per length class, the
 score a token must reach. Only that table of counts, bounded by the
@@ -138,8 +140,24 @@ SCANNED = (
 )
 
 
+def text_strings(letters: str, last: bool) -> tuple[list[str], str]:
+    """Strings of each length class in turn, and the letters left over for the next texts.
+
+    Of the ``last`` letters the longest class that fits is cut first; under 20 none fits.
+    """
+    rounds = len(letters) // CYCLE
+    cut = [letters[start + a : start + b] for start in range(0, rounds * CYCLE, CYCLE) for a, b in CUTS]
+    rest = letters[rounds * CYCLE :]
+    while last and len(rest) >= LENGTHS[0]:
+        size = int(LENGTHS[np.searchsorted(LENGTHS, len(rest), side="right") - 1])
+        cut.append(rest[:size])
+        rest = rest[size:]
+    return cut, rest
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, 128):
+    over = ""
+    for batch, last in _and_last(pieces(batches, 128)):
         docs, tokens, owners, places, out = batch.column("doc_id").to_pylist(), [], [], [], []
         plain: list[str] = []
         plain_owner: list[int] = []
@@ -152,11 +170,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     tokens.append(m[0])
                     owners.append(i)
                     places.append((m.start(), m.end()))
-            letters = "".join(WORDS.findall(text or ""))
-            rounds = len(letters) // CYCLE
-            for start in range(0, rounds * CYCLE, CYCLE):
-                plain += [letters[start + a : start + b] for a, b in CUTS]
-            plain_owner += [i] * (rounds * len(CUTS))
+            # Counts are summed over the corpus: a string over two texts counts with the second.
+            cut, over = text_strings(over + "".join(WORDS.findall(text or "")), last and i == batch.num_rows - 1)
+            plain += cut
+            plain_owner += [i] * len(cut)
         found: list[list[tuple]] = [[] for _ in out]
         if tokens:
             for i, place, length, score in zip(owners, places, *classes(tokens)):
@@ -175,6 +192,18 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
+def _and_last(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
+    """Each batch with rows, and whether it is the last."""
+    held = None
+    for batch in batches:
+        if batch.num_rows:
+            if held is not None:
+                yield held, False
+            held = batch
+    if held is not None:
+        yield held, True
+
+
 def accepted_classes(candidates: dict[tuple[int, int], int], words: dict[tuple[int, int], int]) -> set[tuple[int, int]]:
     """Length and score classes that pass Benjamini-Hochberg among all candidates.
 
