@@ -298,6 +298,19 @@ def test_random_tokens_among_short_texts(spark):
     assert sum(r["n_random"] for r in found if r["doc_id"] not in planted) == 0
 
 
+def test_random_tokens_without_a_digit(spark):
+    ship(spark)
+    rng = np.random.default_rng(15)
+    letters = list(secret_scan.ENCODINGS[5][:52])
+    texts = [" ".join(rng.choice(WORDS, 400)) for _ in range(300)]
+    planted = {i: "".join(rng.choice(letters, 64)) for i in range(5, 300, 20)}
+    long_word = "".join(rng.choice(WORDS, 16))
+    texts = [f"{t} {planted.get(i, long_word if i % 20 == 0 else '')}" for i, t in enumerate(texts)]
+    found = secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)).collect()
+    hit = {r["doc_id"] for r in found if r["n_random"]}
+    assert len(hit & set(planted)) >= 0.8 * len(planted) and not hit - set(planted)
+
+
 @pytest.mark.parametrize("sizes", [[7, 0, 300, 411, 413, 5000], [19], [20], [100] * 9])
 def test_all_letters_of_the_text_are_cut(sizes):
     over, strings, letters = "", [], ["".join(chr(97 + (i + k) % 26) for k in range(n)) for i, n in enumerate(sizes)]

@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and long tokens that look random for their encoding.
 
-Tokens of twenty or more letters, digits and ``+/_=-`` are tested. The narrowest encoding
+Tokens of twenty or more letters, digits and ``+/_=-`` are tested, with digits or without. The narrowest encoding
 that holds a token's characters (hex, base32, lower, alphanumeric, base64) gives its
 alphabet; under the hypothesis of independent uniform symbols three tests apply:
 chi-squared uniformity over the alphabet, Wald-Wolfowitz runs about the alphabet's middle,
@@ -54,7 +54,6 @@ ENCODINGS = (
 )
 RATE = 0.01
 LENGTHS = np.array([20, 24, 32, 48, 64, 96, 128])
-DIGIT = re.compile(r"[0-9]")
 WORDS = re.compile(r"(?<![^\s])[A-Za-z]+(?![^\s.,])")
 # Where joined words are cut: one string of each length class per cycle.
 CUTS = [(int(LENGTHS[:k].sum()), int(LENGTHS[: k + 1].sum())) for k in range(len(LENGTHS))]
@@ -166,10 +165,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             count = [sum(k == kind for _, k, _ in spans) for kind in range(3)]
             out.append((docs[i], [f"{KINDS[k]}:{a}:{b}" for a, k, b in spans], *count))
             for m in TOKEN.finditer(text or ""):
-                if DIGIT.search(m[0]):
-                    tokens.append(m[0])
-                    owners.append(i)
-                    places.append((m.start(), m.end()))
+                tokens.append(m[0])
+                owners.append(i)
+                places.append((m.start(), m.end()))
             # Counts are summed over the corpus: a string over two texts counts with the second.
             cut, over = text_strings(over + "".join(WORDS.findall(text or "")), last and i == batch.num_rows - 1)
             plain += cut
