@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wayline.llm import exact_index, graph_search, langid, line_dedup, mixing, ngram_join, packing, secret_scan, substring_dedup, token_files
+from wayline.llm import exact_index, graph_search, langid, line_dedup, linking, mixing, ngram_join, packing, secret_scan, substring_dedup, token_files
 from wayline.llm.deploy import ship
 from wayline.llm.text import WordHashes
 from wayline.llm.tokens import CUTS, Encoder, public_path
@@ -173,6 +173,28 @@ def test_blocks_of_many_near_copies(spark):
     assert {r["component_id"] for r in found if r["doc_id"] >= 500} == {500}
 
 
+@pytest.mark.parametrize("chunk", [1024, 16])
+def test_links_are_counted_whole(spark, monkeypatch, chunk):
+    """Each document's links to other texts, whatever block or chunk they were met in."""
+    ship(spark)
+    monkeypatch.setattr(linking, "CHUNK_NODES", chunk)
+    base, short = prose(41, 300, 300).split(), prose(42, 60, 60).split()
+    texts = []
+    for i in range(60):
+        w = list(base)
+        for k in range(i % 9 + 1):
+            w[(i * 7 + 31 * k) % 300] = f"own{i}x{k}"
+        texts.append(" ".join(w))
+    texts += [" ".join([*short, f"tail{i}"]) for i in range(3)]
+    texts += [texts[0], texts[61], prose(43, 80), "", None]
+    found = ngram_join.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    sets = [frozenset(shingle_set(t)) for t in texts]
+    classes = {s for s in sets if s}
+    links = {s: sum(s != t and 100 * len(s & t) >= 75 * len(s | t) for t in classes) for s in classes}
+    assert {r["doc_id"]: r["n_links"] for r in found} == {i: links.get(s, 0) for i, s in enumerate(sets)}
+    assert [links[sets[i]] for i in (60, 61, 62)] == [2, 2, 2]
+
+
 def test_exact_dedup(docs, rows, spark):
     found = table(exact_index.dedup_report(docs))
     for r in found:

@@ -7,12 +7,18 @@ that only nodes of one block in different components can still change the result
 meet a few drawn nodes of the block, some turns over, which joins most of what belongs
 together; the pairs that are left in different components are all compared. No candidate
 pair is dropped: it is either compared or already joined by other links.
+
+So components are whole, but not all links in them are met. :func:`degrees` counts those:
+all nodes of a component are compared by products of matrices, in chunks of bounded size,
+and only counts leave the tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +30,10 @@ PERCENT = 75
 # After the first links, so many drawn nodes of a block meet the others, so many times.
 HEADS = 8
 TURNS = 3
+# Nodes and items of a chunk of a component, on the average of its chunks, and columns of a matrix.
+CHUNK_NODES = 1024
+CHUNK_ITEMS = 524_288
+SLAB = 4096
 
 
 def similar_sizes(a: Column, b: Column) -> Column:
@@ -56,6 +66,13 @@ def linked(pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], D
     bounds what a node can share with others of the block; ``sets_of`` makes the table
     ``node, items`` for a table of nodes.
     """
+    return linked_sets(pairs, blocks, sets_of)[:2]
+
+
+def linked_sets(
+    pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Like :func:`linked`, and the stored sets of all nodes given."""
     pairs = stored(pairs.select("a", "b").distinct(), "link_pairs")
     blocks = stored(blocks.select("block", "node", "size", "rest"), "link_blocks")
     heads = blocks.groupBy("block").agg(F.min(F.struct("node", "size")).alias("head"))
@@ -69,7 +86,7 @@ def linked(pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], D
     links = stored(verified(tested, sets), "links_first")
     found = components(links)
     if blocks.isEmpty():
-        return links, found
+        return links, found, sets
     for turn in range(TURNS):
         found = stored(found, "link_components")
         mixed = stored(_mixed(blocks, found), "link_mixed")
@@ -81,9 +98,74 @@ def linked(pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], D
     found = stored(found, "link_components")
     rest = stored(_across(_mixed(blocks, found)).join(tested, ["a", "b"], "left_anti"), "links_across")
     if rest.isEmpty():
-        return links, found
+        return links, found, sets
     more = stored(verified(rest, sets), "links_more")
-    return links.unionByName(more), _merged(found, more)
+    return links.unionByName(more), _merged(found, more), sets
+
+
+def similar_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """Whether each set of ``first`` is similar to each of ``second`` (distinct items each)."""
+    sizes = [np.array([len(x) for x in part]) for part in (first, second)]
+    flat = [np.concatenate(part) for part in (first, second)]
+    owner = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    # Only items of both sides count.
+    common = np.intersect1d(*flat)
+    places = [np.minimum(np.searchsorted(common, x), max(len(common) - 1, 0)) for x in flat]
+    both = np.zeros((len(first), len(second)), dtype=np.float32)
+    inside = [common[at] == x if len(common) else np.zeros(len(x), dtype=bool) for at, x in zip(places, flat)]
+    for start in range(0, len(common), SLAB):
+        slabs = []
+        for n, of, at, ok in zip(sizes, owner, places, inside):
+            here = ok & (at >= start) & (at < start + SLAB)
+            slab = np.zeros((len(n), min(SLAB, len(common) - start)), dtype=np.float32)
+            slab[of[here], at[here] - start] = 1
+            slabs.append(slab)
+        both += slabs[0] @ slabs[1].T
+    both = np.rint(both).astype(np.int64)
+    return both * 100 >= (sizes[0][:, None] + sizes[1][None, :] - both) * PERCENT
+
+
+def _degrees(table: pa.Table) -> pa.Table:
+    """Links that the nodes of two chunks have with each other, or those of one chunk among themselves."""
+    nodes, chunks = table.column("node").to_numpy(), table.column("chunk").to_numpy()
+    lists = table.column("items").combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks)
+    ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+    # Rows repeated in id and text give a node more than once.
+    nodes, at = np.unique(nodes, return_index=True)
+    chunks, items = chunks[at], [flat[ends[i] : ends[i + 1]] for i in at]
+    own = np.flatnonzero(chunks == chunks.min())
+    if table.column("one")[0].as_py():
+        counts = similar_counts(items, items).sum(axis=1) - 1
+        return pa.table({"node": nodes, "links": pa.array(counts, pa.int64())})
+    other = np.flatnonzero(chunks != chunks.min())
+    if not len(other):
+        return pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+    met = similar_counts([items[i] for i in own], [items[i] for i in other])
+    counts = np.concatenate([met.sum(axis=1), met.sum(axis=0)])
+    return pa.table({"node": nodes[np.concatenate([own, other])], "links": pa.array(counts, pa.int64())})
+
+
+def degrees(found: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, n_links``: how many other nodes each node of a component is similar to.
+
+    Similar nodes share a component, so its nodes are compared with each other, chunk by chunk.
+    """
+    sizes = sets.select("node", F.size("items").alias("size")).distinct()
+    sized = stored(found.join(sizes, "node"), "link_sizes")
+    whole = sized.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum("size").alias("items"))
+    many = F.greatest(F.ceil(F.col("nodes") / CHUNK_NODES), F.ceil(F.col("items") / CHUNK_ITEMS)).cast("int")
+    placed = sized.join(whole.select("component", many.alias("chunks")), "component").withColumn(
+        "chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    )
+    # A chunk meets each chunk, itself included.
+    meets = placed.select("node", "component", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with")).select(
+        "node", "component", "chunk", F.least("chunk", "with").alias("p"), F.greatest("chunk", "with").alias("q")
+    )
+    rows = meets.join(sets, "node").select("component", "p", "q", "node", "chunk", (F.col("p") == F.col("q")).alias("one"), "items")
+    counts = rows.groupBy("component", "p", "q").applyInArrow(_degrees, "node bigint, links bigint")
+    return counts.groupBy("node").agg(F.sum("links").alias("n_links"))
 
 
 def _merged(found: DataFrame, more: DataFrame) -> DataFrame:

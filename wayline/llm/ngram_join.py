@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayline.llm.linking import linked, needed, similar_sizes
+from wayline.llm.linking import degrees, linked_sets, needed, similar_sizes
 from wayline.llm.text import WordHashes, as_longs, list_array, narrow, pieces, shingles, utf8
 from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
@@ -172,7 +172,7 @@ def _prefix(n: str):
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every document.
 
-    ``n_links`` counts verified links of the document's class to other classes.
+    ``n_links`` counts the other classes whose sets are similar to that of the document.
     """
     rows = narrow(docs, "doc_id", "text")
     prefixes = stored(rows.mapInArrow(_prefixes(*frequent_shingles(rows)), PREFIXES), "prefixes")
@@ -201,18 +201,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         wanted = hinted(wanted, is_small(wanted))
         return rows.join(wanted, "doc_id").select("node", "text").mapInArrow(_sets, "node bigint, items array<bigint>")
 
-    links, found = linked(member_pairs, spread.unionByName(own).unionByName(met), sets_of)
-    return _answer(prefixes, links, found)
+    _, found, sets = linked_sets(member_pairs, spread.unionByName(own).unionByName(met), sets_of)
+    found = stored(found, "found_components")
+    return _answer(prefixes, degrees(found, sets), found)
 
 
-def _answer(prefixes: DataFrame, links: DataFrame, found: DataFrame) -> DataFrame:
+def _answer(prefixes: DataFrame, degree: DataFrame, found: DataFrame) -> DataFrame:
     """Back to documents: classes are few per component, documents join their class once.
 
     Documents of one class are aggregated before they meet its component; a class that
     holds many documents meets them in a join that adaptive execution splits.
     """
     classes = prefixes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     joined = found.join(classes, "node")
     named = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     of_class = joined.join(named, "component").join(degree, "node", "left").select("node", "component_id", "n_links")
