@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayline.llm import exact_index, graph_search, langid, line_dedup, mixing, ngram_join, packing, secret_scan, substring_dedup, token_files
+from wayline.llm import (
+    exact_index, graph_search, langid, line_dedup, mixing, ngram_join, packing, periodic_runs, phrases, secret_scan,
+    substring_dedup, token_files, url_filter,
+)
 from wayline.llm.deploy import ship
 from wayline.llm.tokens import public_path
 
@@ -62,11 +65,24 @@ def op10_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), public_path("byte_bpe_50k.json"), "spaced", 1)
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(_documents(spark, sf_dir), periodic_runs.made_periodic)
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_token_files, op3_ngram_join, op4_substring_dedup, op5_exact_dedup, op6_line_dedup,
         op7_graph_search, op8_secret_scan, op9_language_id, op10_curve_packing,
+        op11_url_filter, op12_periodic_runs, op13_phrase_mining,
     )
 }
 
@@ -79,4 +95,44 @@ ORACLES: dict[str, str] = {
                sha256(r.body) AS text_sha256
         FROM rows r JOIN groups g ON r.body = g.body
     """,
+    "op13_phrase_mining": r"""
+        WITH texts AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+            FROM documents
+        ),
+        pieces AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+        worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+        grams AS (
+            SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: words[i:i + k - 1])) AS words
+            FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(words) >= k
+        ),
+        counts AS (SELECT lang, k, words, count(*) AS a FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+        frequent AS (SELECT * FROM counts WHERE a >= 30 AND k > 1),
+        cuts AS (
+            SELECT f.lang, f.words, f.a, f.k, c.cut, h.a AS l, t.a AS r,
+                   ((2000000::HUGEINT * f.a) // (h.a::HUGEINT + t.a))::BIGINT AS score
+            FROM frequent f JOIN (VALUES (1), (2), (3)) AS c(cut) ON c.cut < f.k
+            JOIN counts h ON h.lang = f.lang AND h.words = f.words[1:c.cut]
+            JOIN counts t ON t.lang = f.lang AND t.words = f.words[c.cut + 1:f.k]
+        ),
+        lowest AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1
+        ),
+        around AS (
+            SELECT f.lang, f.words[p.at:p.at + p.size - 1] AS words, max(f.a) AS a
+            FROM frequent f
+            JOIN (SELECT a.x AS at, s.x AS size FROM range(1, 4) a(x), range(2, 4) s(x)) p
+              ON p.size < f.k AND p.at + p.size - 1 <= f.k
+            GROUP BY ALL
+        ),
+        ranked AS (
+            SELECT w.*, array_to_string(w.words, ' ') AS phrase,
+                   row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, array_to_string(w.words, ' ')) AS rank
+            FROM lowest w LEFT JOIN around o ON o.lang = w.lang AND o.words = w.words
+            WHERE o.a IS NULL OR 100::HUGEINT * o.a < 80::HUGEINT * w.a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
