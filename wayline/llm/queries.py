@@ -102,35 +102,44 @@ ORACLES: dict[str, str] = {
             FROM documents
         ),
         pieces AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
-        worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+        numbered AS (SELECT row_number() OVER () AS piece_id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+        tokens AS (SELECT piece_id, lang, unnest(words) AS w, generate_subscripts(words, 1) AS place FROM numbered),
+        runs AS (
+            SELECT lang, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4
+            FROM tokens WINDOW o AS (PARTITION BY piece_id ORDER BY place)
+        ),
         grams AS (
-            SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: words[i:i + k - 1])) AS words
-            FROM worded, (VALUES (1), (2), (3), (4)) AS sizes(k) WHERE len(words) >= k
+            SELECT lang, 1 AS k, w AS phrase FROM runs
+            UNION ALL SELECT lang, 2, w || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+            UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL
+            UNION ALL SELECT lang, 4, w || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL
         ),
-        counts AS (SELECT lang, k, words, count(*) AS a FROM grams GROUP BY ALL),
+        counts AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL),
         totals AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
-        frequent AS (SELECT * FROM counts WHERE a >= 30 AND k > 1),
+        frequent AS MATERIALIZED (
+            SELECT lang, phrase, a, k, string_split(phrase, ' ') AS words FROM counts WHERE a >= 30 AND k > 1
+        ),
+        parts AS (SELECT lang, phrase AS part, a AS part_count FROM counts WHERE a >= 30),
+        split AS MATERIALIZED (
+            SELECT lang, phrase, a, cut, array_to_string(words[1:cut], ' ') AS head, array_to_string(words[cut + 1:k], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM frequent)
+        ),
         cuts AS (
-            SELECT f.lang, f.words, f.a, f.k, c.cut, h.a AS l, t.a AS r,
-                   ((2000000::HUGEINT * f.a) // (h.a::HUGEINT + t.a))::BIGINT AS score
-            FROM frequent f JOIN (VALUES (1), (2), (3)) AS c(cut) ON c.cut < f.k
-            JOIN counts h ON h.lang = f.lang AND h.words = f.words[1:c.cut]
-            JOIN counts t ON t.lang = f.lang AND t.words = f.words[c.cut + 1:f.k]
+            SELECT s.lang, s.phrase, s.a, s.cut, h.part_count AS l, t.part_count AS r,
+                   ((2000000::HUGEINT * s.a) // (h.part_count::HUGEINT + t.part_count))::BIGINT AS score
+            FROM split s JOIN parts h ON h.lang = s.lang AND h.part = s.head JOIN parts t ON t.lang = s.lang AND t.part = s.tail
         ),
         lowest AS (
-            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
         ),
+        spans AS (SELECT lang, a, k, words, unnest(range(2, k)) AS size FROM frequent WHERE k > 2),
+        inner_spans AS (SELECT *, unnest(range(1, k - size + 2)) AS place FROM spans),
         around AS (
-            SELECT f.lang, f.words[p.at:p.at + p.size - 1] AS words, max(f.a) AS a
-            FROM frequent f
-            JOIN (SELECT a.x AS at, s.x AS size FROM range(1, 4) a(x), range(2, 4) s(x)) p
-              ON p.size < f.k AND p.at + p.size - 1 <= f.k
-            GROUP BY ALL
+            SELECT lang, array_to_string(words[place:place + size - 1], ' ') AS phrase, max(a) AS a FROM inner_spans GROUP BY ALL
         ),
         ranked AS (
-            SELECT w.*, array_to_string(w.words, ' ') AS phrase,
-                   row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, array_to_string(w.words, ' ')) AS rank
-            FROM lowest w LEFT JOIN around o ON o.lang = w.lang AND o.words = w.words
+            SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS rank
+            FROM lowest w LEFT JOIN around o ON o.lang = w.lang AND o.phrase = w.phrase
             WHERE o.a IS NULL OR 100::HUGEINT * o.a < 80::HUGEINT * w.a
         )
         SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
