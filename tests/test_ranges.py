@@ -2,10 +2,11 @@ import bisect
 import random
 
 import pytest
-from conftest import no_nested_loops_or_python
+from conftest import no_nested_loops_or_python, plan_of
 from pyspark.sql import functions as F
 
 from wayline.operators import ranges as R
+from wayline.plans.tables import open_grid, store_grid
 from wayline.sources.tables import IP_RANGE_COLUMNS
 
 COLUMNS = ("name",)
@@ -66,6 +67,80 @@ def test_overlapping_ranges_take_the_lowest_end(spark):
     assert list(got.values()) == ["all", "a", "a", "b", "b", "all", "c", "all"]
 
 
+@pytest.mark.parametrize("seed, max_rows", [(0, 10**6), (1, 0), (2, 10**6), (3, 0)])
+def test_crossing_ranges_are_flattened(spark, seed, max_rows):
+    """Ranges of all sizes that nest, cross, repeat and span many blocks, against a scan of them all."""
+    rng = random.Random(seed)
+    spread = [2**32, 2**20, 2**17, 400][seed]
+    ranges = []
+    for i in range(250):
+        lo = rng.randrange(spread)
+        size = rng.choice([1, 2, 50, 5000, 65536, 70000, 2**18, 2**22, 2**27, 2**31])
+        ranges.append((lo, min(lo + size, 2**32) - 1, f"r{i}"))
+    ranges += [(0, 2**32 - 1, "all"), (7, 3, "empty"), (65536, 131071, "block"), (65536, 131071, "block again")]
+    df = spark.createDataFrame(ranges, "ip_from bigint, ip_to bigint, name string")
+    flat = R.flattened(df, COLUMNS)
+    assert R.overlapping_ranges(flat.select("ip_from", "ip_to")).isEmpty()
+    found, got = find(spark, probes(ranges[:120], seed), table(spark, ranges, max_rows=max_rows))
+    for a, name in got.items():
+        assert name == min((hi, lo, n) for lo, hi, n in ranges if lo <= a <= hi)[2]
+    no_nested_loops_or_python(found)
+
+
+def test_a_hot_block_stays_bounded(spark):
+    """A hundred thousand ranges that begin in one block: few marks reach its sweep."""
+    ids = spark.range(100_000)
+    df = ids.select((F.col("id") % 50).alias("ip_from"), (F.col("id") + 2**30).alias("ip_to"), F.col("id").cast("string").alias("name"))
+    flat = R.flattened(df, COLUMNS)
+    assert flat.where("ip_from <= 49").select("name").collect() == [("0",)]
+    assert flat.where("ip_from > 49 and ip_to < 1073741824").select("name").distinct().collect() == [("0",)]
+    assert flat.agg(F.max("ip_to")).first()[0] == 2**30 + 99_999
+
+
+def test_stored_grid_is_read_in_place(spark, tmp_path):
+    ranges = random_ranges(9, 200)
+    df = spark.createDataFrame(ranges, "ip_from bigint, ip_to bigint, name string")
+    store_grid(R.grid_cells(df, COLUMNS, "inclusive", True), str(tmp_path / "grid"))
+    prepared = open_grid(spark, str(tmp_path / "grid"), max_rows=0)
+    found, got = find(spark, probes(ranges, 10), prepared)
+    assert got == {a: next((n for lo, hi, n in ranges if lo <= a <= hi), None) for a in got}
+    # The cells of short ranges are scanned once, and nothing is exchanged between scan and join.
+    fine = [b for b in prepared.bits if b not in prepared.broadcast_bits()]
+    hits = R._distinct_hits(spark.createDataFrame([(1,)], "_ip bigint"), prepared, "_ip", fine)
+    plan = plan_of(hits)
+    assert plan.count("FileScan") == 1 and "Bucketed: true" in plan
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+    depth = lines[scan].index("FileScan")
+    above = []
+    for line in reversed(lines[:scan]):
+        at = len(line) - len(line.lstrip(" :|+-*("))
+        if at < depth:
+            above.append(line)
+            depth = at
+        if "Join" in line:
+            break
+    assert above and not any("Exchange" in line for line in above)
+
+
+def test_stream_takes_large_ranges(spark, tmp_path):
+    """The same stream over the same ranges, small or large or overlapping: the same rows as in batch."""
+    ranges = [*random_ranges(11, 80), (0, 2**32 - 1, "rest")]
+    addresses = probes(ranges[:40], 12)[:400]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("\n".join(map(str, addresses)) + "\n")
+    results = []
+    for max_rows in (10**6, 0):
+        prepared = table(spark, ranges, max_rows=max_rows)
+        lines = spark.readStream.text(str(tmp_path / "in")).withColumnRenamed("value", "ip")
+        found = R.lookup_ip(lines, "ip", prepared, int_ip=True)
+        out = str(tmp_path / f"out{max_rows}")
+        found.writeStream.format("parquet").option("checkpointLocation", out + "_s").trigger(availableNow=True).start(out).awaitTermination()
+        results.append(sorted((int(r.ip), r.geo_name) for r in spark.read.parquet(out).collect()))
+    expected = [(a, min((hi, lo, n) for lo, hi, n in ranges if lo <= a <= hi)[2]) for a in addresses]
+    assert results == [expected, expected]
+
+
 def test_disjoint_ranges_do_not_overlap(spark):
     df = spark.createDataFrame(random_ranges(5), "ip_from bigint, ip_to bigint, name string")
     assert R.overlapping_ranges(df).isEmpty()

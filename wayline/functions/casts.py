@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,10 +14,14 @@ NUMERIC_TYPES = ("integer", "long", "date", "float")
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
 
+# Every decimal digit of another script that Python's float() reads, and the digits they stand for.
+_OTHER_DIGITS = "".join(c for c in map(chr, range(0x80, 0x110000)) if unicodedata.category(c) == "Nd")
+_THEIR_VALUES = "".join(str(unicodedata.digit(c)) for c in _OTHER_DIGITS)
+
 # Decimal number text as Python's float() accepts it, blanks around it
 # included. Possessive, so junk after many digits fails at once.
 _BLANKS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]*+"
-_DIGITS = r"[0-9]++(?:_[0-9]++)*+"
+_DIGITS = r"[0-9\p{Nd}]++(?:_[0-9\p{Nd}]++)*+"
 _NUMBER = rf"^{_BLANKS}[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?{_BLANKS}\z"
 _NOT_FINITE = rf"^{_BLANKS}[+-]?(?:inf|infinity|nan){_BLANKS}\z"
 
@@ -34,8 +40,8 @@ def is_nan_or_inf(value: Column) -> Column:
 
 
 def _number(text: Column) -> Column:
-    """Spark's own cast, and again without underscores and unusual blanks if that fails."""
-    plain = F.translate(text, "_" + WHITESPACE, "").try_cast("double")
+    """Spark's own cast, and again with plain digits and without underscores and unusual blanks if that fails."""
+    plain = F.translate(text, _OTHER_DIGITS + "_" + WHITESPACE, _THEIR_VALUES).try_cast("double")
     return F.coalesce(text.try_cast("double"), plain)
 
 
@@ -73,7 +79,7 @@ def seconds_text_to_ms(text: Column) -> Column:
     Three zeros are appended to the text. Fractional seconds, where appending would
     give a wrong number, are multiplied instead.
     """
-    fractional = text.rlike(r"^\s*[+-]?[0-9]*\.[0-9]+\s*$")
+    fractional = text.rlike(r"^\s*[+-]?[0-9]*\.[0-9]+\s*\z")
     scaled = to_date_ms(text, in_seconds=True).cast("string")
     return F.when(fractional, scaled).otherwise(F.concat(text, F.lit("000")))
 

@@ -40,7 +40,6 @@ def first_match(
     """
     keys = list(keys)
     point = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    total = [F.sum(F.when(point, F.col(c).cast("double").try_cast(_COORDINATE))) for c in (lat, lon)]
     if source is None:
         found = F.min_by(F.struct(*attributes, F.col(lat).alias("_lat"), F.col(lon).alias("_lon")), F.col(row_id))
     else:
@@ -48,22 +47,20 @@ def first_match(
     first = rows.groupBy(*keys).agg(
         found.alias("_first"),
         F.count(F.when(point, F.lit(1))).alias("_points"),
-        total[0].alias("_sum_lat"),
-        total[1].alias("_sum_lon"),
+        *coordinate_sums(lat, lon),
     )
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    centroid = first.where("_points > 1").select(
+    middle = first.where("_points > 1").select(
         *keys,
         salts,
-        (F.col("_sum_lat").cast("double") / F.col("_points")).alias("_center_lat"),
-        (F.col("_sum_lon").cast("double") / F.col("_points")).alias("_center_lon"),
+        *centroid(),
     )
     d_lat, d_lon = F.col(lat) - F.col("_center_lat"), F.col(lon) - F.col("_center_lon")
     distance = d_lat * d_lat + d_lon * d_lon
     salt = F.pmod(F.xxhash64(row_id), F.lit(SALTS)).cast("int")
     nearest = (
         rows.where(point).select(*keys, lat, lon, row_id, salt.alias("_salt"))
-        .join(centroid, [*keys, "_salt"]).groupBy(*keys)
+        .join(middle, [*keys, "_salt"]).groupBy(*keys)
         .agg(
             F.min_by(
                 F.struct(F.col(lat).alias("lat"), F.col(lon).alias("lon")),
@@ -71,11 +68,42 @@ def first_match(
             ).alias("_near")
         )
     )
+    return finished(first, nearest, keys, attributes, source, lat, lon, row_id)
+
+
+def coordinate_sums(lat: str, lon: str) -> list[Column]:
+    """Sums over the rows that have both coordinates."""
+    point = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    return [
+        F.sum(F.when(point, F.col(c).cast("double").try_cast(_COORDINATE))).alias(name)
+        for c, name in ((lat, "_sum_lat"), (lon, "_sum_lon"))
+    ]
+
+
+def centroid() -> list[Column]:
+    """Centroid of points whose sums and number are given."""
+    return [
+        (F.col("_sum_lat").cast("double") / F.col("_points")).alias("_center_lat"),
+        (F.col("_sum_lon").cast("double") / F.col("_points")).alias("_center_lon"),
+    ]
+
+
+def finished(
+    first: DataFrame,
+    nearest: DataFrame,
+    keys: Sequence[str],
+    attributes: Sequence[str],
+    source: DataFrame | None,
+    lat: str,
+    lon: str,
+    row_id: str,
+) -> DataFrame:
+    """Answers from the first row of each key (its id, if ``source`` is given) and the nearest point."""
     if source is not None:
         row = F.struct(*attributes, F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
         fetched = source.select(F.col(row_id).alias("_row_id"), row.alias("_row"))
         first = first.join(fetched, F.col("_first") == F.col("_row_id")).withColumn("_first", F.col("_row"))
-    answers = first.join(nearest, keys, "left").select(
+    answers = first.join(nearest, list(keys), "left").select(
         *keys,
         *[F.col("_first").getField(a).alias(a) for a in attributes],
         location_text(F.col("_first._lat"), F.col("_first._lon")).alias("location"),

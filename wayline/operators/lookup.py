@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from wayline.operators.first_match import attach, first_match
 from wayline.operators.sizing import is_small
+from wayline.operators.union_match import first_match_of_union, subsets
 from wayline.scratch import stored
 
 # Up to so many optional keys there is an answer for every subset of them; of more keys
@@ -130,26 +131,32 @@ def lookup_any(
 ) -> DataFrame:
     """Left lookup where one matching key is enough.
 
-    Works on the distinct key tuples, which are stored. A table row that matches a tuple through several
-    keys is counted once: the join on one key leaves out rows that an earlier key
-    already brought. Matches and answers are stored; the answers come back by broadcast
-    if they measure small. A key stands in a tuple as '=' and its text, null as ''.
+    Works on the distinct key tuples, which are stored. Their answers follow from one aggregate per key
+    value and one per combination of key values that a tuple asks for (see :mod:`union_match`),
+    so no table row is listed per tuple. Rows, overlaps and answers are stored; the
+    answers come back by broadcast if they measure small.
     """
     keys = _checked(spec, on)
-    values = [_probe_key(on[k]) for k in keys]
-    wanted = [F.coalesce(F.concat(F.lit("="), v), F.lit("")) for v in values]
-    tuples = stored(probe.select(*[v.alias(f"_q{i}") for i, v in enumerate(wanted)]).distinct(), "asked_keys")
-    points = list(dict.fromkeys([spec.lat, spec.lon, spec.row_id]))
-    rows = table.select(*points, *[F.concat(F.lit("="), F.col(k).cast("string")).alias(f"_t{i}") for i, k in enumerate(keys)])
-    group = [f"_q{i}" for i in range(len(keys))]
-    parts = []
-    for i in range(len(keys)):
-        matching = F.col(f"_q{i}") == F.col(f"_t{i}")
-        for j in range(i):
-            matching = matching & ~F.coalesce(F.col(f"_t{j}") == F.col(f"_q{j}"), F.lit(False))
-        parts.append(tuples.join(rows, matching).select(*group, *points))
-    matches = stored(reduce(DataFrame.unionByName, parts), "key_matches")
-    answers = first_match(matches, group, spec.attributes, spec.lat, spec.lon, spec.row_id, source=table)
+    # A name holds its key's number and its value's length, so joined names stay distinct.
+    asked_names = [_key_name(i, _probe_key(on[k])) for i, k in enumerate(keys)]
+    own_names = [_key_name(i, F.col(k).cast("string")) for i, k in enumerate(keys)]
+    given = F.array_compact(F.array(*asked_names))
+    query = F.when(F.size(given) > 0, F.array_join(given, ""))
+    asked = stored(probe.select(query.alias("_query"), given.alias("_names")).dropna().distinct(), "asked_keys")
+    combined = asked.select("_query", F.explode(subsets(F.col("_names"))).alias("_subset"))
+    overlaps = stored(
+        combined.select("_query", F.size("_subset").alias("_size"), F.array_join("_subset", "").alias("_name")),
+        "asked_overlaps",
+    )
+    own = table.select(
+        F.col(spec.row_id).alias("_row"), spec.lat, spec.lon, F.explode(subsets(F.array_compact(F.array(*own_names)))).alias("_subset")
+    )
+    rows = own.withColumn("_name", F.array_join("_subset", "")).drop("_subset")
+    rows = stored(rows.join(overlaps.select("_name").distinct(), "_name", "left_semi"), "key_matches")
+    answers = first_match_of_union(asked, overlaps, rows, spec.attributes, table, spec.lat, spec.lon, spec.row_id)
     answers = stored(answers, "key_answers")
-    pairs = [(v, f"_q{i}") for i, v in enumerate(wanted)]
-    return attach(probe, answers, pairs, spec.output(), prefix, is_small(answers))
+    return attach(probe, answers, [(query, "_query")], spec.output(), prefix, is_small(answers))
+
+
+def _key_name(number: int, value: Column) -> Column:
+    return F.concat(F.lit(f"{number}:"), F.length(value).cast("string"), F.lit(":"), value)

@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayline.functions.text import words
+from wayline.operators.answers import AnswerStore
 from wayline.operators.first_match import SALTS, attach, first_match
 from wayline.operators.sizing import is_small
+from wayline.operators.union_match import first_match_of_union, subsets
 from wayline.scratch import stored
 from wayline.sources.tables import PLACE_COLUMNS
 
@@ -34,13 +36,15 @@ OUTPUT = (*ATTRIBUTES, "location", "representative_point")
 class PlaceIndex:
     """Place rows with their terms, postings per term, and how many rows hold a term.
 
-    ``answers`` optionally holds the stored answer of every single term.
+    ``answers`` optionally holds the stored answer of every single term, ``known`` those of
+    earlier batches' queries.
     """
 
     rows: DataFrame
     postings: DataFrame
     frequency: DataFrame
     answers: DataFrame | None = None
+    known: AnswerStore | None = None
 
 
 def _column_terms(column: str) -> Column:
@@ -122,30 +126,24 @@ def _holds(terms: Column, condition: Column) -> Column:
 
 
 def _matches(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
-    """Places matching each query of several terms: candidates come from the rarest
-    term of a condition, the other terms are checked on the place row.
+    """Places matching each AND or NOT query of several terms: candidates come from the
+    rarest term of the first condition, the other terms are checked on the place row.
 
-    OR takes a place from its first matching condition only; NOT takes the first
-    condition's places and leaves out those another condition matches.
+    AND queries have one condition; NOT leaves out the places another condition matches.
     """
     conditions = F.transform(F.split("_query", r"\|"), lambda c: F.split(c, " "))
     parsed = queries.withColumn("_conditions", conditions)
-    numbered = parsed.select("_query", F.posexplode("_conditions").alias("_number", "_terms"))
-    if op == "NOT":
-        numbered = numbered.where("_number = 0")
-    counted = numbered.select(
-        "_query", "_number", F.size("_terms").alias("_size"), F.explode("_terms").alias("term")
-    ).join(index.frequency, "term")
-    rarest = (
-        counted.groupBy("_query", "_number", "_size")
-        .agg(F.min_by("term", F.struct("n", "term")).alias("term"), F.count(F.lit(1)).alias("_known"))
-        .where("_known = _size").select("_query", "_number", "term")
+    first = parsed.select("_query", F.get("_conditions", F.lit(0)).alias("_terms"))
+    counted = first.select("_query", F.size("_terms").alias("_size"), F.explode("_terms").alias("term")).join(
+        index.frequency, "term"
     )
-    at = F.col("_number")
-    wanted = F.array_remove(F.element_at("_conditions", at + 1), F.col("term"))
-    unwanted = (
-        F.slice("_conditions", F.lit(1), at) if op == "OR" else F.slice("_conditions", F.lit(2), F.size("_conditions"))
+    rarest = (
+        counted.groupBy("_query", "_size")
+        .agg(F.min(F.struct("n", "term")).alias("_rarest"), F.count(F.lit(1)).alias("_known"))
+        .where("_known = _size").select("_query", "_rarest.term")
     )
+    wanted = F.array_remove(F.get("_conditions", F.lit(0)), F.col("term"))
+    unwanted = F.slice("_conditions", F.lit(2), F.size("_conditions"))
     checks = rarest.withColumn("_conditions", conditions).select(
         "_query", "term", wanted.alias("_wanted"), unwanted.alias("_unwanted"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
@@ -163,11 +161,37 @@ def _matches(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
     return rows.where(matching).select("_query", "row_id", "latitude", "longitude")
 
 
+def _union_answers(queries: DataFrame, index: PlaceIndex) -> DataFrame:
+    """Answers of OR queries of several conditions, by inclusion and exclusion.
+
+    The overlap of conditions is the AND of all their terms. Each term and each AND that
+    occurs is matched once; a place belongs to as many of them as its words combine to,
+    so matches grow with the places and not with the pairs of queries and places.
+    """
+    conditions = F.array_distinct(F.split("_query", r"\|"))
+    asked = queries.select("_query", conditions.alias("_names"))
+    terms = F.array_sort(F.array_distinct(F.flatten(F.transform("_subset", lambda c: F.split(c, " ")))))
+    overlaps = stored(
+        asked.select("_query", F.explode(subsets(F.col("_names"))).alias("_subset"))
+        .select("_query", F.size("_subset").alias("_size"), F.array_join(terms, " ").alias("_name")),
+        "asked_overlaps",
+    )
+    names = overlaps.select("_name").distinct()
+    is_single = ~F.contains("_name", F.lit(" "))
+    points = index.rows.select("row_id", "latitude", "longitude")
+    held = index.postings.join(names.where(is_single).withColumnRenamed("_name", "term"), "term", "left_semi")
+    one = held.join(points, "row_id").select(F.col("term").alias("_name"), "row_id", "latitude", "longitude")
+    several = _matches(names.where(~is_single).withColumnRenamed("_name", "_query"), index, "AND")
+    rows = one.unionByName(several.withColumnRenamed("_query", "_name")).withColumnRenamed("row_id", "_row")
+    return first_match_of_union(asked, overlaps, stored(rows, "place_matches"), ATTRIBUTES, index.rows)
+
+
 def place_answers(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
     """Answer of each distinct query text in ``_query``.
 
     A single-term query reads the term's pre-aggregated answer, so a term that most
-    places hold is aggregated once however many queries ask for it.
+    places hold is aggregated once however many queries ask for it. A union of
+    conditions is answered from theirs, without listing its places.
     """
     is_single = ~F.col("_query").rlike(r"[ |]")
     single = queries.where(is_single)
@@ -175,10 +199,14 @@ def place_answers(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
     if answers is None:
         asked = single.select(F.col("_query").alias("term"))
         answers = term_answers(index.rows, index.postings.join(asked, "term", "left_semi"))
-    one = single.join(answers, F.col("_query") == F.col("term")).select("_query", *OUTPUT)
-    matches = stored(_matches(queries.where(~is_single), index, op), "place_matches")
-    many = first_match(matches, ["_query"], ATTRIBUTES, source=index.rows)
-    return one.unionByName(many)
+    found = single.join(answers, F.col("_query") == F.col("term")).select("_query", *OUTPUT)
+    many = queries.where(~is_single)
+    if op == "OR":
+        unions = F.contains("_query", F.lit("|"))
+        found = found.unionByName(_union_answers(many.where(unions), index))
+        many = many.where(~unions)
+    matches = stored(_matches(many, index, "AND" if op == "OR" else op), "place_matches")
+    return found.unionByName(first_match(matches, ["_query"], ATTRIBUTES, source=index.rows))
 
 
 def lookup_place(
@@ -194,7 +222,8 @@ def lookup_place(
     (the first without the others).
 
     The probe is read twice: once for its distinct queries, which are stored, and once
-    to attach their answers, by broadcast if these measure small.
+    to attach their answers, by broadcast if these measure small. With ``index.known`` only
+    queries that no earlier batch asked are matched.
     """
     if op not in ("AND", "OR", "NOT"):
         raise ValueError(f"unknown operator {op!r}")
@@ -202,7 +231,11 @@ def lookup_place(
         raise ValueError("no lookup key given")
     query = query_text(on, op, scope)
     asked = stored(probe.select(query.alias("_query")).dropna().distinct(), "asked_places")
-    answers = stored(place_answers(asked, index, op), "place_answers")
+    if index.known is not None:
+        answers = index.known.answered(asked, lambda new: place_answers(new, index, op), op)
+    else:
+        answers = place_answers(asked, index, op)
+    answers = stored(answers, "place_answers")
     answered = answers.withColumn("country_name", F.lit(None).cast("string"))
     return attach(probe, answered, [(query, "_query")], [*OUTPUT, "country_name"], prefix, is_small(answers))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +16,14 @@ from wayline.functions.casts import is_nan_or_inf, seconds_text_to_ms, to_date_m
 from wayline.functions.ids import document_id
 from wayline.functions.text import location_text, words
 from wayline.operators import documents, parse, places as place_ops, ranges as range_ops, tor
+from wayline.operators.answers import AnswerStore
 from wayline.operators.first_match import first_match
 from wayline.operators.lookup import COUNTRY, IP_RANGE_PLACES, key_answers, lookup, lookup_any
 from wayline.plans import fixtures as fx
 from wayline.plans import tables as table_builds
-from wayline.plans.import_job import LookupTables, import_documents, import_lines
+from wayline.plans.import_job import LookupTables, import_documents, import_lines, write_import
 from wayline.plans.report import load_report
-from wayline.scratch import shared_folder
+from wayline.scratch import shared_folder, stored
 from wayline.sources.lines import generate_lines, scan_lines
 from wayline.sources.tables import (
     COUNTRY_COLUMNS,
@@ -30,7 +32,7 @@ from wayline.sources.tables import (
     address_set,
     read_relay_export,
 )
-from wayline.streaming.imports import stream_lines, write_stream
+from wayline.streaming.imports import LoadListener, import_stream, stream_lines, write_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -356,10 +358,28 @@ def geo_ip(spark, sf_dir):
 @query
 def geo_ip_large(spark, sf_dir):
     """The same lookup by the way taken when the range table is too large to broadcast."""
-    table = _ranges(spark, sf_dir, disjoint=False, max_rows=0)
+    table = _ranges(spark, sf_dir, max_rows=0)
     return range_ops.lookup_ip(fx.probe_ips(spark, sf_dir), "ip", table)
 
 
+@query
+def geo_ip_overlap(spark, sf_dir):
+    """Overlapping ranges, cut into disjoint ones: the lowest end answers."""
+    ranges = range_ops.ip_range_table(fx.overlapping_ranges(spark, sf_dir))
+    return range_ops.lookup_ip(fx.probe_ips(spark, sf_dir), "ip", range_ops.prepare_ranges(ranges))
+
+
+@query
+def geo_ip_fine(spark, sf_dir):
+    """A stored grid of short ranges, read in place by its buckets as a large table is."""
+    target = shared_folder(spark, f"fine_grid/{uuid.uuid4().hex}")
+    ranges = range_ops.ip_range_table(fx.fine_ranges(spark, sf_dir))
+    columns = (*range_ops.ATTRIBUTES, "location", "representative_point")
+    table_builds.store_grid(range_ops.grid_cells(ranges, columns, "inclusive", True), target)
+    table = table_builds.open_grid(spark, target, max_rows=0)
+    return range_ops.lookup_ip(fx.fine_probes(spark, sf_dir), "ip", table, int_ip=True)
+
+
 @query
 def geo_ip_compat(spark, sf_dir):
     return range_ops.lookup_ip(fx.probe_ips(spark, sf_dir), "ip", _ranges(spark, sf_dir, "compat"))
@@ -410,6 +430,17 @@ QUERIES["place_not"] = _place_query({"place_name": "town", "region_name": "area"
 QUERIES["geo_place"] = _place_query({"place_name": "town", "region_name": "area"})
 
 
+@query
+def place_known(spark, sf_dir):
+    """The lookup of ``geo_place`` in two batches; the second asks for what is known, and more."""
+    probes = fx.place_probes(spark, sf_dir)
+    store = AnswerStore(spark, shared_folder(spark, f"known_places/{uuid.uuid4().hex}"))
+    index = replace(_place_index(spark, sf_dir), known=store)
+    on = {"place_name": "town", "region_name": "area"}
+    place_ops.lookup_place(probes.where("event_id % 2 = 0"), index, on)
+    return place_ops.lookup_place(probes, index, on)
+
+
 # ---------------------------------------------------------------- relay flags
 
 
@@ -489,17 +520,22 @@ def write_docs(spark, sf_dir):
 
 @query
 def noop_count(spark, sf_dir):
-    lines = fx.event_lines(spark, sf_dir)
-    run = sinks.dry_run(parse.accepted(parse.parse_typed(lines, fx.LINE_CONFIG)))
-    return spark.range(1).select(F.lit(run.rows).alias("rows_read"))
+    """The dry run's count, beside one taken over the same plan."""
+    rows = parse.accepted(parse.parse_typed(fx.event_lines(spark, sf_dir), fx.LINE_CONFIG))
+    run = sinks.dry_run(rows)
+    counted = rows.agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.when(F.col("n") == run.rows, F.col("n")).alias("rows_read"))
 
 
 # ---------------------------------------------------------------- whole imports
 
 
+def _country_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return key_answers(fx.points(spark, sf_dir), COUNTRY, COUNTRY.keys, every_subset=True)
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> LookupTables:
     return LookupTables(
-        countries=key_answers(fx.points(spark, sf_dir), COUNTRY, COUNTRY.keys, every_subset=True),
         ranges=_ranges(spark, sf_dir),
         relays=tor.relay_table(*fx.relay_ips(spark, sf_dir)),
     )
@@ -522,7 +558,7 @@ def import_by_country(spark, sf_dir):
         constants={"service": "web"},
     )
     lines = fx.access_lines(spark, sf_dir)
-    tables = _tables(spark, sf_dir)
+    tables = LookupTables(countries=_country_answers(spark, sf_dir))
     return import_documents(lines, fx.ACCESS_CONFIG, options, tables, keep=("ordinal",)).rows
 
 
@@ -533,5 +569,80 @@ def import_by_place(spark, sf_dir):
     return import_lines(fx.place_lines(spark, sf_dir), fx.PLACE_CONFIG, options, tables).rows
 
 
+@query
+def import_report(spark, sf_dir):
+    """One pass over the lines: what became of each, why, and which value did not parse."""
+    folder = shared_folder(spark, f"import_report/{uuid.uuid4().hex}")
+    options = ImportOptions(typed=True, constants={"service": "web"})
+    done = write_import(fx.event_lines(spark, sf_dir), fx.LINE_CONFIG, options, folder)
+    none = F.lit(None).cast("string")
+    rows = done.rows().join(done.bad_fields().select("ordinal", "field"), "ordinal", "left").select(
+        "ordinal", F.lit("row").alias("outcome"), none.alias("reason"), F.col("field").alias("bad_field"), "service"
+    )
+    rejected = done.rejects().select(
+        "ordinal", F.lit("reject").alias("outcome"), "reason", none.alias("bad_field"), none.alias("service")
+    )
+    return rows.unionByName(rejected)
+
+
+def _dropped_lines(spark: SparkSession, sf_dir: str) -> str:
+    folder = shared_folder(spark, f"dropped_lines/{uuid.uuid4().hex}")
+    fx.event_lines(spark, sf_dir).select("value").write.text(folder)
+    return folder
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    """Rejected lines of a streamed import, with the counts its batches reported."""
+    folder = _dropped_lines(spark, sf_dir)
+    listener = LoadListener()
+    stream = import_stream(
+        stream_lines(spark, folder, max_files=4), fx.LINE_CONFIG, ImportOptions(typed=True), LookupTables(),
+        f"{folder}_out", f"{folder}_state", once=True, report=listener.add,
+    )
+    stream.awaitTermination()
+    kept = spark.read.parquet(f"{folder}_out_rejects").select("line", "reason")
+    return kept.select("*", F.lit(listener.totals["failed"]).cast("bigint").alias("failed"))
+
+
+@query
+def stream_upsert(spark, sf_dir):
+    """Two streamed runs into one store: the first is folded before the second, and retried after it."""
+    folder = shared_folder(spark, f"stream_upsert/{uuid.uuid4().hex}")
+    options = ImportOptions(md5_id=True, md5_exclude=["id", "at", "size"])
+
+    def load(part: int, state: str) -> None:
+        lines = fx.event_lines(spark, sf_dir).where(F.col("ordinal") % 2 == part)
+        ordered = lines.repartitionByRange(4, "ordinal").sortWithinPartitions("ordinal").select("value")
+        ordered.write.mode("ignore").text(f"{folder}/in{part}")
+        stream = stream_lines(spark, f"{folder}/in{part}")
+        import_stream(stream, fx.LINE_CONFIG, options, LookupTables(), f"{folder}/out", state, once=True).awaitTermination()
+
+    load(0, f"{folder}/state0")
+    sinks.fold(spark, f"{folder}/out")
+    load(1, f"{folder}/state1")
+    first = next(r for r, _ in sorted(sinks._batches(spark, f"{folder}/out")) if not r.startswith(sinks.SNAPSHOT))
+    again = spark.read.parquet(f"{folder}/out/run={first}/batch_id=0")
+    sinks.write_batch(stored(again.drop(sinks.SESSION), "retried"), f"{folder}/out", 0, run=first)
+    sinks.fold(spark, f"{folder}/out")
+    return sinks.current_documents(spark, f"{folder}/out").drop("_seq")
+
+
+@query
+def reject_collect(spark, sf_dir):
+    parsed = parse.parse_typed(fx.event_lines(spark, sf_dir), fx.LINE_CONFIG)
+    kept, rejects = parse.apply_reject_policy(parsed, "collect")
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n") for name, df in (("rows", kept), ("rejects", rejects))]
+    return counted[0].unionByName(counted[1])
+
+
+@query
+def reject_fail(spark, sf_dir):
+    """Lines without a reject pass; the first reject would end the job."""
+    lines = fx.event_lines(spark, sf_dir).where("ordinal % 13 != 0")
+    kept, _ = parse.apply_reject_policy(parse.parse_typed(lines, fx.LINE_CONFIG), "fail")
+    return kept
+
+
 for _name in ("scan_lines", "stream_lines", "load_report"):
     QUERIES[_name] = QUERIES.pop(_name + "_query")

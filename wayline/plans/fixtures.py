@@ -76,6 +76,46 @@ def raw_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sized_ranges(spark: SparkSession, sf_dir: str, start: Column, end: Column) -> DataFrame:
+    """Address ranges from customers; ``key`` and ``width``, a customer's share, may be used."""
+    customers = table(spark, sf_dir, "customer")
+    width = F.call_function("div", F.lit(ADDRESSES), customers.agg(F.count(F.lit(1))).scalar())
+    lat, lon = quarter_degrees(F.col("key"))
+    keyed = customers.select(F.col("c_custkey").alias("key"), "c_name", "c_mktsegment", width.alias("width"))
+    return keyed.select(
+        start.cast("bigint").alias("ip_from"), end.cast("bigint").alias("ip_to"),
+        F.upper("c_name").alias("country_code"), F.upper("c_mktsegment").alias("country_name"),
+        F.lit("R").alias("region_name"), F.concat(F.lit("PLACE "), (F.col("key") % 97).cast("string")).alias("place_name"),
+        lat, lon, F.col("key").cast("string").alias("zip_code"), F.col("key").alias("row_id"),
+    ).where(F.col("ip_to") < ADDRESSES)
+
+
+def overlapping_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested and crossing ranges of one to seven shares, no two with the same end; each
+    hundredth begins at address 0."""
+    key, width = F.col("key"), F.col("width")
+    start = F.when(key % 100 == 0, F.lit(0)).otherwise(F.greatest(F.lit(0), key - key % 4) * width + key % 5 * 100)
+    return _sized_ranges(spark, sf_dir, start, (key + 1 + key % 4) * width - 1 - key % 1000)
+
+
+def fine_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Disjoint ranges of 1 to 65,536 addresses, far apart."""
+    key, width = F.col("key"), F.col("width")
+    length = F.least(F.call_function("shiftleft", F.lit(1).cast("bigint"), (key % 17).cast("int")), F.expr("width div 2"))
+    start = key * width + key % 1000
+    return _sized_ranges(spark, sf_dir, start, start + length - 1)
+
+
+def fine_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses from events, about half of them in a range of :func:`fine_ranges`."""
+    customers = table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()
+    width = F.call_function("div", F.lit(ADDRESSES), customers)
+    key = F.pmod(F.col("event_id"), customers)
+    offset = F.pmod(F.col("event_id") * 7919, F.call_function("shiftleft", F.lit(2).cast("bigint"), (key % 17).cast("int")))
+    ip = F.least(key * width + key % 1000 + offset, F.lit(ADDRESSES - 1))
+    return table(spark, sf_dir, "events").select("event_id", ip.alias("ip"))
+
+
 def probe_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Address texts from events: hashed ones, exact range ends, bad texts and nulls."""
     customers = table(spark, sf_dir, "customer").agg(F.count(F.lit(1))).scalar()

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayline.config import ImportConfig, ImportOptions
 from wayline.functions.ids import document_id
@@ -138,12 +139,89 @@ def import_lines(
 
 
 def import_documents(
-    lines: DataFrame, cfg: ImportConfig, options: ImportOptions, tables: LookupTables | None = None, keep: tuple[str, ...] = ()
+    lines: DataFrame, cfg: ImportConfig, options: ImportOptions, tables: LookupTables | None = None,
+    keep: tuple[str, ...] = (), counts: Observation | None = None,
 ) -> Imported:
     """Like :func:`import_lines`, wrapped as documents. The ``keep`` columns stay outside."""
-    result = import_lines(lines, cfg, options, tables)
-    documents = to_documents(
-        result.rows, options.index or cfg.index, options.doc_type or cfg.doc_type,
-        "_id" if options.md5_id else None, keep,
+    result = import_lines(lines, cfg, options, tables, counts)
+    return Imported(_wrapped(result.rows, cfg, options, keep), result.rejects)
+
+
+def _wrapped(rows: DataFrame, cfg: ImportConfig, options: ImportOptions, keep: tuple[str, ...]) -> DataFrame:
+    return to_documents(
+        rows, options.index or cfg.index, options.doc_type or cfg.doc_type, "_id" if options.md5_id else None, keep
+    )
+
+
+# Column and folders of a one-pass import: what became of a line.
+OUTCOME = "_outcome"
+ROWS, REJECTS = "rows", "rejects"
+
+
+@dataclass(frozen=True)
+class WrittenImport:
+    """A one-pass import on disk, and its load counts."""
+
+    spark: SparkSession
+    path: str
+    columns: tuple[str, ...]
+    carried: tuple[str, ...]
+    schema: T.StructType
+    counts: dict[str, int]
+
+    def _outcome(self, outcome: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path).where(F.col(OUTCOME) == outcome)
+
+    def rows(self) -> DataFrame:
+        """The imported rows or documents."""
+        return self._outcome(ROWS).select(*self.columns)
+
+    def rejects(self) -> DataFrame:
+        """Lines that did not parse, with their reason and the columns the lines carried."""
+        return self._outcome(REJECTS).select(*self.carried, F.col(LINE).alias("line"), F.col(REASON).alias("reason"))
+
+    def bad_fields(self) -> DataFrame:
+        """One row per value that did not parse and became null: the carried columns, its field and the line."""
+        found = self._outcome(ROWS).where(F.size(BAD_FIELDS) > 0)
+        return found.select(*self.carried, F.explode(BAD_FIELDS).alias("field"), F.col(LINE).alias("line"))
+
+
+def write_import(
+    lines: DataFrame, cfg: ImportConfig, options: ImportOptions, path: str, tables: LookupTables | None = None,
+    documents: bool = False, replace: bool = False,
+) -> WrittenImport:
+    """Import in one pass: rows, rejects and values that became null go out in a single write.
+
+    Every line passes one plan, is marked with what became of it and written to the folder of
+    that outcome; the load counts are observed by the same job. A rejected line is looked up by no
+    key, since its fields are null; a row keeps its line only where a value did not parse. Rejects are
+    written if the options collect them, and end the job if they say ``fail``. Place words and
+    large range tables read the lines once more beforehand, for their distinct keys.
+    """
+    options.check(cfg)
+    parsed = parse(lines, cfg, options)
+    counts = Observation()
+    parsed = observed(parsed, counts)
+    good = F.col(REASON).isNull()
+    carried = tuple(c for c in parsed.columns if c not in (*cfg.order_in_file, LINE, REASON, BAD_FIELDS))
+    if options.rejects == "fail":
+        message = F.concat(F.lit("line rejected: "), F.col(REASON), F.lit(": "), F.col(LINE))
+        parsed = parsed.withColumn(REASON, F.when(~good, F.raise_error(message).cast("string")))
+    elif options.rejects == "drop":
+        parsed = parsed.where(good)
+    bad = F.col(BAD_FIELDS) if BAD_FIELDS in parsed.columns else F.array().cast("array<string>")
+    # The bookkeeping goes in one column of its own, which no step of the import names.
+    book = F.struct(F.col(REASON).alias("reason"), bad.alias("bad"), F.when(~good | (F.size(bad) > 0), F.col(LINE)).alias("line"))
+    named = parsed.select(
+        *carried, *[F.when(good, F.col(f"`{c}`")).alias(c) for c in cfg.order_in_file], book.alias("_book")
+    )
+    rows = enrich(named, cfg, options, tables or LookupTables())
+    if documents:
+        rows = _wrapped(rows, cfg, options, (*carried, "_book"))
+    columns = tuple(c for c in rows.columns if c != "_book")
+    marked = rows.select(
+        *columns, F.col("_book.line").alias(LINE), F.col("_book.reason").alias(REASON), F.col("_book.bad").alias(BAD_FIELDS),
+        F.when(F.col("_book.reason").isNull(), ROWS).otherwise(REJECTS).alias(OUTCOME),
     )
-    return Imported(documents, result.rejects)
+    marked.write.partitionBy(OUTCOME).mode("overwrite" if replace else "append").parquet(path)
+    return WrittenImport(lines.sparkSession, path, columns, carried, marked.schema, counts.get)

@@ -224,6 +224,27 @@ ORACLES["geo_range_by_key"] = f"""WITH {_WIDTH}, {_RAW_RANGES}, key_probes AS (
 ORACLES["geo_ip"] = f"""WITH {_PROBES}, {_RANGES} SELECT event_id, event_type, ip, {_GEO_IP_COLUMNS}
 FROM probes LEFT JOIN ranges r ON ip_int BETWEEN ip_from AND ip_to"""
 ORACLES["geo_ip_large"] = ORACLES["geo_ip"]
+
+
+def _sized_ranges(name: str, start: str, end: str) -> str:
+    return f"""{name} AS (SELECT ({start})::BIGINT AS ip_from, ({end})::BIGINT AS ip_to, upper(c_name) AS country_code,
+  upper(c_mktsegment) AS country_name, 'R' AS region_name, 'PLACE ' || (key % 97)::VARCHAR AS place_name, key::VARCHAR AS zip_code,
+  ({_lat('key')}) || ',' || ({_lon('key')}) AS location, ({_lat('key')}) || ',' || ({_lon('key')}) AS representative_point
+  FROM (SELECT c_custkey AS key, c_name, c_mktsegment, w FROM customer, width) WHERE ({end}) < 4294967296)"""
+
+
+_OVERLAPPING = _sized_ranges(
+    "overlapping", "CASE WHEN key % 100 = 0 THEN 0 ELSE greatest(0, key - key % 4) * w + key % 5 * 100 END",
+    "(key + 1 + key % 4) * w - 1 - key % 1000",
+)
+ORACLES["geo_ip_overlap"] = f"""WITH {_PROBES}, {_OVERLAPPING} SELECT event_id, event_type, ip, {_GEO_IP_COLUMNS}
+FROM probes LEFT JOIN overlapping r ON ip_int BETWEEN ip_from AND ip_to
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ip_to) = 1"""
+_FINE = _sized_ranges("fine", "key * w + key % 1000", "key * w + key % 1000 + least(1::BIGINT << (key % 17)::INT, w // 2) - 1")
+ORACLES["geo_ip_fine"] = f"""WITH {_WIDTH}, {_FINE}, fine_probes AS (
+  SELECT event_id, least((event_id % n) * w + (event_id % n) % 1000
+    + (event_id * 7919) % (2::BIGINT << ((event_id % n) % 17)::INT), 4294967295) AS ip FROM events, width)
+SELECT event_id, ip, {_GEO_IP_COLUMNS} FROM fine_probes LEFT JOIN fine r ON ip BETWEEN ip_from AND ip_to"""
 ORACLES["geo_ip_compat"] = f"""WITH {_PROBES}, {_RANGES}, next_end AS (
   SELECT event_id, ip_to FROM probes ASOF JOIN ranges ON ip_int < ip_to)
 SELECT probes.event_id, event_type, ip, {_GEO_IP_COLUMNS} FROM probes
@@ -357,3 +378,18 @@ _PLACE_GEO = ", ".join(
 )
 ORACLES["import_by_place"] = f"""SELECT event_id AS ordinal, coalesce(town, '') AS town, coalesce(area, '') AS area, {_PLACE_GEO}
 FROM ({ORACLES["geo_place"]})"""
+ORACLES["import_report"] = f"""WITH {_FIELDS} SELECT event_id AS ordinal, CASE WHEN too_many THEN 'reject' ELSE 'row' END AS outcome,
+  CASE WHEN too_many THEN 'too many fields' END AS reason,
+  CASE WHEN NOT too_many AND (event_id % 19 = 0 OR event_id % 23 = 0 AND event_id % 7 <> 0 AND event_id % 11 <> 0) THEN 'size' END
+    AS bad_field,
+  CASE WHEN NOT too_many THEN 'web' END AS service FROM fields"""
+ORACLES["stream_rejects"] = f"""WITH {_FIELDS}, {_LINES} SELECT value AS line, 'too many fields' AS reason, count(*) OVER () AS failed
+FROM fields JOIN lines ON ordinal = event_id WHERE too_many"""
+ORACLES["stream_upsert"] = f"""WITH {_FIELDS} SELECT event_id::VARCHAR AS id, ms::VARCHAR AS at, size, kind,
+  md5(to_json({{'kind': kind}})::VARCHAR) AS _id FROM fields WHERE NOT too_many AND kind IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY kind ORDER BY event_id % 2 DESC, event_id DESC) = 1"""
+ORACLES["reject_collect"] = f"""WITH {_FIELDS} SELECT CASE WHEN too_many THEN 'rejects' ELSE 'rows' END AS part, count(*) AS n
+FROM fields GROUP BY 1"""
+ORACLES["reject_fail"] = f"""WITH {_FIELDS} SELECT event_id AS ordinal, event_id AS id, ms AS at, number AS size, kind
+FROM fields WHERE event_id % 13 <> 0"""
+ORACLES["place_known"] = ORACLES["geo_place"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from dataclasses import dataclass
@@ -98,12 +99,65 @@ def write_batch(
     marked.write.format(format).mode("overwrite").save(f"{path}/run={run}/batch_id={batch_id}")
 
 
+def _batches(spark: SparkSession, path: str) -> set[tuple[str, int]]:
+    """Run and batch of every written batch, from the names of the files."""
+    files = spark.read.option("basePath", path).parquet(path).inputFiles()
+    return {(m[1], int(m[2])) for m in (re.search(r"/run=([^/]+)/batch_id=(\d+)/", f) for f in files) if m}
+
+
+# A folder that listings of the batches pass over.
+MANIFEST = "_manifest"
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int, str | None, set[tuple[str, int]]]:
+    """Newest version, its snapshot's run, and the batches that are folded into that."""
+    try:
+        files = spark.read.parquet(f"{path}/{MANIFEST}").inputFiles()
+    except AnalysisException:
+        return 0, None, set()
+    version = max(int(re.search(r"/v=(\d+)/", f)[1]) for f in files)
+    rows = spark.read.parquet(f"{path}/{MANIFEST}/v={version}").collect()  # one row per folded batch
+    return version, rows[0].snapshot, {(r.run, r.batch_id) for r in rows if r.run is not None}
+
+
+def _live(spark: SparkSession, path: str) -> tuple[int, set[tuple[str, int]], set[tuple[str, int]]]:
+    """Manifest version, batches to read, and batches folded before."""
+    version, snapshot, folded = _manifest(spark, path)
+    live = {(run, b) for run, b in _batches(spark, path) - folded if not run.startswith(f"{SNAPSHOT}-") or run == snapshot}
+    return version, live, folded
+
+
+def _read_batches(spark: SparkSession, path: str, batches: set[tuple[str, int]]) -> DataFrame:
+    folders = [f"{path}/run={run}/batch_id={batch}" for run, batch in sorted(batches)]
+    return spark.read.option("basePath", path).parquet(*folders)
+
+
 def current_documents(spark: SparkSession, path: str, id_column: str = "_id", order: str = "_seq") -> DataFrame:
     """Latest document of each id over all runs and batches under ``path``."""
-    written = spark.read.option("basePath", path).parquet(path)
+    _, live, _ = _live(spark, path)
+    written = _read_batches(spark, path, live)
     return latest_by_id(written, [SESSION, "batch_id", order], id_column).drop("run", "batch_id", SESSION)
 
 
+def fold(spark: SparkSession, path: str, id_column: str = "_id", order: str = "_seq") -> int:
+    """Fold the batches written so far into one snapshot in place, while streams go on writing.
+
+    The snapshot becomes visible with the next version of the manifest, one file that names it
+    and the batches it holds. Until then readers take the batches, afterwards the snapshot and
+    whatever was written meanwhile. A folded batch that is written again, by a retry, stays
+    folded: it holds the same documents. One fold may run at a time. Returns the number of batches folded.
+    """
+    version, live, folded = _live(spark, path)
+    snapshot = f"{SNAPSHOT}-{version + 1:08d}"
+    written = _read_batches(spark, path, live)
+    documents = latest_by_id(written, [SESSION, "batch_id", order], id_column).drop("run", "batch_id", SESSION)
+    write_batch(documents, path, 0, run=snapshot, session=SNAPSHOT)
+    rows = [(snapshot, run, batch) for run, batch in sorted(live | folded)] or [(snapshot, None, None)]
+    listed = spark.createDataFrame(rows, "snapshot string, run string, batch_id int").coalesce(1)
+    listed.write.mode("overwrite").parquet(f"{path}/{MANIFEST}/v={version + 1}")
+    return len(live)
+
+
 def compact(spark: SparkSession, path: str, snapshot: str, id_column: str = "_id", order: str = "_seq") -> None:
     """Write the current documents as a new snapshot, which later batches can follow.
 

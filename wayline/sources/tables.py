@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,9 +71,18 @@ def parse_address_lines(lines: DataFrame) -> DataFrame:
     return lines.withColumn("ip_int", ip_to_int(strip_right(F.col("value"))))
 
 
-def address_set(lines: DataFrame) -> DataFrame:
-    """Distinct addresses of a list; lines that do not parse are skipped."""
-    return parse_address_lines(lines).where(F.col("ip_int").isNotNull()).select("ip_int").distinct()
+def address_set(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """Distinct addresses of a list; lines that do not parse are skipped.
+
+    ``counts`` observes ``lines`` and ``bad_lines`` when the set is consumed; blank lines count as neither.
+    """
+    parsed = parse_address_lines(lines)
+    if counts is not None:
+        filled = strip_right(F.col("value")) != ""
+        parsed = parsed.observe(
+            counts, F.count_if(filled).alias("lines"), F.count_if(filled & F.col("ip_int").isNull()).alias("bad_lines")
+        )
+    return parsed.where(F.col("ip_int").isNotNull()).select("ip_int").distinct()
 
 
 def read_relay_export(spark: SparkSession, path: str | list[str], exit_nodes: bool) -> DataFrame:
