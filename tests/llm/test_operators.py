@@ -115,7 +115,6 @@ def test_mix_meets_targets(docs, rows):
 def test_files_round_trip(docs, rows):
     found = {r["doc_id"]: r for r in table(REPORTS["files"](docs))}
     tokenizer = Tokenizer.from_file(public_path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     start = 0
     for doc_id, text, *_ in sorted(rows, key=lambda r: r[0]):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
@@ -143,6 +142,39 @@ def test_pieces_encode_as_whole_texts(text, kind):
     assert np.frombuffer(encoder.encode([text])[0], dtype="<u4").tolist() == whole
 
 
+@pytest.mark.parametrize("kind", [("word_bpe_49k.json", "words"), ("byte_bpe_50k.json", "spaced")])
+def test_strings_of_special_tokens(kind):
+    """As in the library's plain call, inside words, repeated, cut short and beside any white space."""
+    encoder = ENCODERS.setdefault(kind, Encoder(public_path(kind[0]), CUTS[kind[1]]))
+    parts = ["a", " ", "7", "\n", "\t ", "<|endoftext|>", "<|startoftext|>", "<|endoftext", "|>", "<|", "É", "<|ENDOFTEXT|>", "word b", "\xa0"]
+    rng = np.random.default_rng(2)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "<<|endoftext|>>"]
+    texts += ["".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(1, 12))) for _ in range(400)]
+    plain = Tokenizer.from_file(public_path(kind[0]))
+    for text, found in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(found, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_near_duplicates_of_rows_without_or_with_shared_ids(spark):
+    """A text without an id links two that have one; rows of one id stand for their own texts."""
+    ship(spark)
+    base = prose(71, 100, 100).split()
+    a, bridge, b = base[:90], base[8:98], base[16:] + ["x1", "x2", "x3", "x4", "x5", "x6"]
+    texts = [(1, a), (None, bridge), (2, b), (5, prose(72, 60, 60).split()), (5, prose(73, 60, 60).split()), (6, prose(73, 60, 60).split() + ["end"]),
+             (None, prose(74, 50, 50).split()), (None, prose(74, 50, 50).split() + ["end"]), (9, []), (9, [])]
+    rows = [(i, " ".join(w)) for i, w in texts]
+    sets = [shingle_set(t) for _, t in rows]
+    near = lambda i, j: 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+    assert near(0, 1) and near(1, 2) and not near(0, 2) and near(4, 5) and near(6, 7)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = ngram_join.near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.component_id, r.n_links) for r in found if r.doc_id is not None) == [
+        (1, 1, 1), (2, 1, 1), (5, 5, 0), (5, 5, 1), (6, 5, 1), (9, 9, 0), (9, 9, 0)]
+    assert sorted((r.component_id or -1, r.n_links) for r in found if r.doc_id is None) == [(-1, 1), (-1, 1), (1, 2)]
+    kept = ngram_join.one_per_group(docs).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "5", "5", "9", "9", "None"]
+
+
 def test_near_duplicates_by_brute_force(docs, rows):
     found = {r["doc_id"]: r for r in table(ngram_join.near_duplicates(docs))}
     sets = {r[0]: shingle_set(r[1]) for r in rows}
@@ -384,7 +416,6 @@ def test_texts_of_no_known_language_go(spark):
 def test_packing(docs, rows, empty):
     path = public_path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     found = packing.pack(docs, path, "spaced", 1, partitions=3).toPandas()
     for doc_id, text, *_ in rows:
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")

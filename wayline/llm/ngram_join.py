@@ -14,8 +14,9 @@ gives the same result, a good one fewer candidates. A shingle still shared by mo
 
 Defined cases: A-Z are lower-cased; a text of fewer than five words is one shingle; null
 and empty texts have none and stand alone; rows repeated in text share a class; rows
-without an id link by equal sets only, and are not compared further; an empty table gives
-an empty result; other columns are ignored. Identity of sets rests on 64-bit hashes.
+without an id, and rows that share one, are compared like all others (a component of rows without an id
+alone has none); an empty table gives an empty result; other columns are ignored. Identity
+of texts and sets rests on 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayline.llm.linking import degrees, linked_sets, needed, similar_sizes
@@ -74,7 +75,7 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, int]:
     return rows["shingle"].to_numpy(dtype=np.int64).view(np.uint64).copy(), int((rows["n"] < CROWDED).sum())
 
 
-PREFIXES = "doc_id bigint, n bigint, node bigint, g bigint, prefix array<bigint>, crowded int"
+PREFIXES = "doc_id bigint, t bigint, n bigint, node bigint, g bigint, prefix array<bigint>, crowded int"
 
 
 def prefix_length(n):
@@ -112,7 +113,7 @@ def _prefixes(frequent: np.ndarray, uncrowded: int) -> Callable[[Iterator[pa.Rec
                 prefixes.append(as_longs(prefix if groups[-1] not in given else prefix[:0]))
                 given.add(groups[-1])
             yield pa.record_batch({
-                "doc_id": batch.column("doc_id"), "n": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64()),
+                "doc_id": batch.column("doc_id"), "t": batch.column("t"), "n": pa.array(sizes, pa.int64()), "node": pa.array(nodes, pa.int64()),
                 "g": pa.array(groups, pa.int64()), "prefix": list_array(prefixes, pa.int64()), "crowded": pa.array(crowded, pa.int32()),
             })
 
@@ -123,7 +124,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in pieces(batches):
         items = [shingles(t or b"", hashes) for t in utf8(batch, "text")]
-        # Another text under the same id has another node.
+        # A text of the same hash may have another node.
         own = [node == _node(i) for node, i in zip(batch.column("node").to_pylist(), items)]
         yield pa.record_batch({
             "node": batch.column("node").filter(pa.array(own)),
@@ -169,12 +170,14 @@ def _prefix(n: str):
     return F.col(n) - F.ceil(F.col(n) * 3 / 4) + 1
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, n_links`` of every document.
+def _text() -> Column:
+    """Name of a text; with the id it tells rows apart, whatever ids they have."""
+    return F.xxhash64("text")
 
-    ``n_links`` counts the other classes whose sets are similar to that of the document.
-    """
-    rows = narrow(docs, "doc_id", "text")
+
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Prefixes of every row, components of linked classes, and the sets compared; all stored."""
+    rows = narrow(docs, "doc_id", "text").withColumn("t", _text())
     prefixes = stored(rows.mapInArrow(_prefixes(*frequent_shingles(rows)), PREFIXES), "prefixes")
     members = prefixes.where("n > 0").select("g", "n", "node").distinct()
     counts = members.groupBy("g").agg(F.count(F.lit(1)).alias("members"))
@@ -194,15 +197,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = members.where("members > 1").select(F.xxhash64("g").alias("block"), "node", F.col("n").alias("size"), F.col("n").alias("rest"))
     spread = blocks.select("block", "g", "rest").join(members, "g").select("block", "node", F.col("n").alias("size"), "rest")
     met = pair_blocks.join(members, "g").select("block", "node", F.col("n").alias("size"), F.col("n").alias("rest"))
-    texts = prefixes.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    texts = _first_rows(prefixes).select("node", F.col("row.doc_id").alias("of_doc"), F.col("row.t").alias("of_text"))
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        wanted = stored(texts.join(nodes, "node", "left_semi").where(F.col("doc_id").isNotNull()), "wanted")
-        wanted = hinted(wanted, is_small(wanted))
-        return rows.join(wanted, "doc_id").select("node", "text").mapInArrow(_sets, "node bigint, items array<bigint>")
+        wanted = stored(texts.join(nodes, "node", "left_semi"), "wanted")
+        same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("t") == F.col("of_text"))
+        met = rows.join(hinted(wanted, is_small(wanted)), same)
+        return met.select("node", "text").mapInArrow(_sets, "node bigint, items array<bigint>")
 
     _, found, sets = linked_sets(member_pairs, spread.unionByName(own).unionByName(met), sets_of)
-    found = stored(found, "found_components")
+    return prefixes, stored(found, "found_components"), sets
+
+
+def _first_rows(prefixes: DataFrame) -> DataFrame:
+    """``node, row``: of each class the row of smallest id, those without an id last."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")
+    return prefixes.where("n > 0").groupBy("node").agg(F.min(row).alias("row"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, n_links`` of every document.
+
+    ``n_links`` counts the other classes whose sets are similar to that of the document.
+    """
+    prefixes, found, sets = _found(docs)
     return _answer(prefixes, degrees(found, sets), found)
 
 
@@ -229,7 +247,16 @@ def _answer(prefixes: DataFrame, degree: DataFrame, found: DataFrame) -> DataFra
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    same = docs["doc_id"].eqNullSafe(kept["doc_id"])
-    return docs.join(kept, same, "left_semi")
+    """Of each group of near duplicates the row with the smallest id; rows without words all stay.
+
+    Links are not counted here. Of rows alike in id and text all stay or none. The rows that go
+    are few columns: texts move only if these do not measure small.
+    """
+    prefixes, found, _ = _found(docs)
+    first = _first_rows(prefixes).join(found, "node", "left")
+    kept = first.groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("row").alias("row"))
+    rows = prefixes.where("n > 0").select(F.col("doc_id").alias("of_doc"), F.col("t").alias("of_text")).distinct()
+    stays = F.col("of_doc").eqNullSafe(F.col("row.doc_id")) & (F.col("of_text") == F.col("row.t"))
+    gone = stored(rows.join(kept, stays, "left_anti"), "near_copies")
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (_text() == F.col("of_text"))
+    return docs.join(hinted(gone, is_small(gone)), same, "left_anti")

@@ -3,6 +3,8 @@
 Both vocabularies treat the pieces between certain white-space positions independently of
 each other, so the ids of a text are the ids of its pieces in order. A worker keeps the
 ids of the pieces it met, up to a bound, and passes unknown ones to the library in bulk.
+The string of a special token in a text is that token, as in the library's plain call; texts
+are cut there first.
 """
 
 from __future__ import annotations
@@ -63,8 +65,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cut = cut
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # The library takes the leftmost, and of several there the longest.
+        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         self.between = BETWEEN[cut]
         self.joinable = _JOINABLE[cut].fullmatch
         (self.mark,) = self.tokenizer.encode(self.between, add_special_tokens=False).ids
@@ -73,7 +77,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
-        split = [self.cut(t) for t in texts]
+        split = [self._pieces(t) for t in texts]
         missing = {p for s in split for p in s if p not in known}
         self._learn(missing)
         ids = [b"".join(map(known.__getitem__, s)) for s in split]
@@ -84,6 +88,16 @@ class Encoder:
             self.known, self.older = {}, known
         return ids
 
+    def _pieces(self, text: str) -> list[str]:
+        if not self.special.search(text):
+            return self.cut(text)
+        pieces, end = [], 0
+        for found in self.special.finditer(text):
+            pieces += [p for p in self.cut(text[end : found.start()]) if p]
+            pieces.append(found.group())
+            end = found.end()
+        return pieces + [p for p in self.cut(text[end:]) if p]
+
     def _learn(self, missing: set[str]) -> None:
         known, older, joinable = self.known, self.older, self.joinable
         alone, together = [], []
@@ -91,7 +105,7 @@ class Encoder:
             ids = older.get(piece)
             if ids is not None:
                 known[piece] = ids
-            elif joinable(piece):
+            elif joinable(piece) and not self.special.fullmatch(piece):
                 together.append(piece)
             else:
                 alone.append(piece)
