@@ -186,22 +186,19 @@ class WrittenImport:
         return found.select(*self.carried, F.explode(BAD_FIELDS).alias("field"), F.col(LINE).alias("line"))
 
 
-def write_import(
-    lines: DataFrame, cfg: ImportConfig, options: ImportOptions, path: str, tables: LookupTables | None = None,
-    documents: bool = False, replace: bool = False,
-) -> WrittenImport:
-    """Import in one pass: rows, rejects and values that became null go out in a single write.
+def tagged_import(
+    lines: DataFrame, cfg: ImportConfig, options: ImportOptions, tables: LookupTables | None = None,
+    documents: bool = False, counts: Observation | None = None,
+) -> tuple[DataFrame, tuple[str, ...], tuple[str, ...]]:
+    """All lines in one plan, each marked with what became of it.
 
-    Every line passes one plan, is marked with what became of it and written to the folder of
-    that outcome; the load counts are observed by the same job. A rejected line is looked up by no
-    key, since its fields are null; a row keeps its line only where a value did not parse. Rejects are
-    written if the options collect them, and end the job if they say ``fail``. Place words and
-    large range tables read the lines once more beforehand, for their distinct keys.
+    Returns the frame, the columns of its rows, and those of them that the lines carried. A rejected line
+    is looked up by no key, since its fields are null; a row keeps its line only where a value did not parse.
     """
     options.check(cfg)
     parsed = parse(lines, cfg, options)
-    counts = Observation()
-    parsed = observed(parsed, counts)
+    if counts is not None:
+        parsed = observed(parsed, counts)
     good = F.col(REASON).isNull()
     carried = tuple(c for c in parsed.columns if c not in (*cfg.order_in_file, LINE, REASON, BAD_FIELDS))
     if options.rejects == "fail":
@@ -223,5 +220,20 @@ def write_import(
         *columns, F.col("_book.line").alias(LINE), F.col("_book.reason").alias(REASON), F.col("_book.bad").alias(BAD_FIELDS),
         F.when(F.col("_book.reason").isNull(), ROWS).otherwise(REJECTS).alias(OUTCOME),
     )
+    return marked, columns, carried
+
+
+def write_import(
+    lines: DataFrame, cfg: ImportConfig, options: ImportOptions, path: str, tables: LookupTables | None = None,
+    documents: bool = False, replace: bool = False,
+) -> WrittenImport:
+    """Import in one pass: rows, rejects and values that became null go out in a single write.
+
+    Every line goes to the folder of its outcome; the load counts are observed by the same job.
+    Rejects are written if the options collect them, and end the job if they say ``fail``.
+    Place words and large range tables read the lines once more beforehand, for their distinct keys.
+    """
+    counts = Observation()
+    marked, columns, carried = tagged_import(lines, cfg, options, tables, documents, counts)
     marked.write.partitionBy(OUTCOME).mode("overwrite" if replace else "append").parquet(path)
     return WrittenImport(lines.sparkSession, path, columns, carried, marked.schema, counts.get)
