@@ -161,8 +161,9 @@ def _matches(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
     return rows.where(matching).select("_query", "row_id", "latitude", "longitude")
 
 
-def _union_answers(queries: DataFrame, index: PlaceIndex) -> DataFrame:
-    """Answers of OR queries of several conditions, by inclusion and exclusion.
+def _union_sets(queries: DataFrame, index: PlaceIndex) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Conditions of OR queries, their overlaps, and the places of each (stored), for
+    :func:`first_match_of_union`.
 
     The overlap of conditions is the AND of all their terms. Each term and each AND that
     occurs is matched once; a place belongs to as many of them as its words combine to,
@@ -183,7 +184,7 @@ def _union_answers(queries: DataFrame, index: PlaceIndex) -> DataFrame:
     one = held.join(points, "row_id").select(F.col("term").alias("_name"), "row_id", "latitude", "longitude")
     several = _matches(names.where(~is_single).withColumnRenamed("_name", "_query"), index, "AND")
     rows = one.unionByName(several.withColumnRenamed("_query", "_name")).withColumnRenamed("row_id", "_row")
-    return first_match_of_union(asked, overlaps, stored(rows, "place_matches"), ATTRIBUTES, index.rows)
+    return asked, overlaps, stored(rows, "place_matches")
 
 
 def place_answers(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
@@ -203,7 +204,8 @@ def place_answers(queries: DataFrame, index: PlaceIndex, op: str) -> DataFrame:
     many = queries.where(~is_single)
     if op == "OR":
         unions = F.contains("_query", F.lit("|"))
-        found = found.unionByName(_union_answers(many.where(unions), index))
+        sets = _union_sets(many.where(unions), index)
+        found = found.unionByName(first_match_of_union(*sets, ATTRIBUTES, index.rows))
         many = many.where(~unions)
     matches = stored(_matches(many, index, "AND" if op == "OR" else op), "place_matches")
     return found.unionByName(first_match(matches, ["_query"], ATTRIBUTES, source=index.rows))

@@ -344,10 +344,17 @@ def geo_range_by_key(spark, sf_dir):
 
 # ---------------------------------------------------------------- address lookups
 
+_RANGE_COLUMNS = (*range_ops.ATTRIBUTES, "location", "representative_point")
+
 
 def _ranges(spark: SparkSession, sf_dir: str, mode: str = "inclusive", **limits) -> range_ops.RangeTable:
-    table = _built(spark, sf_dir, "ip_ranges", lambda: range_ops.ip_range_table(fx.raw_ranges(spark, sf_dir)))
-    return range_ops.prepare_ranges(table, mode=mode, **limits)
+    path = shared_folder(spark, f"ip_grid_{mode}/{sf_dir.strip('/').replace('/', '-')}")
+    if path not in _BUILT:
+        table = _built(spark, sf_dir, "ip_ranges", lambda: range_ops.ip_range_table(fx.raw_ranges(spark, sf_dir)))
+        disjoint = range_ops.overlapping_ranges(table).isEmpty()
+        table_builds.store_grid(range_ops.grid_cells(table, _RANGE_COLUMNS, mode, disjoint), path, disjoint)
+        _BUILT.add(path)
+    return table_builds.open_grid(spark, path, **limits)
 
 
 @query
@@ -374,8 +381,7 @@ def geo_ip_fine(spark, sf_dir):
     """A stored grid of short ranges, read in place by its buckets as a large table is."""
     target = shared_folder(spark, f"fine_grid/{uuid.uuid4().hex}")
     ranges = range_ops.ip_range_table(fx.fine_ranges(spark, sf_dir))
-    columns = (*range_ops.ATTRIBUTES, "location", "representative_point")
-    table_builds.store_grid(range_ops.grid_cells(ranges, columns, "inclusive", True), target)
+    table_builds.store_grid(range_ops.grid_cells(ranges, _RANGE_COLUMNS, "inclusive", True), target)
     table = table_builds.open_grid(spark, target, max_rows=0)
     return range_ops.lookup_ip(fx.fine_probes(spark, sf_dir), "ip", table, int_ip=True)
 
@@ -531,7 +537,9 @@ def noop_count(spark, sf_dir):
 
 
 def _country_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_answers(fx.points(spark, sf_dir), COUNTRY, COUNTRY.keys, every_subset=True)
+    return _built(
+        spark, sf_dir, "country_answers", lambda: key_answers(fx.points(spark, sf_dir), COUNTRY, COUNTRY.keys, every_subset=True)
+    )
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> LookupTables:
@@ -644,5 +652,13 @@ def reject_fail(spark, sf_dir):
     return kept
 
 
+def build_tables(spark: SparkSession, sf_dir: str) -> None:
+    """Build the stored lookup tables that queries share, so that none of them pays for another's."""
+    _place_index(spark, sf_dir)
+    _country_answers(spark, sf_dir)
+    for mode in ("inclusive", "compat"):
+        _ranges(spark, sf_dir, mode)
+
+
 for _name in ("scan_lines", "stream_lines", "load_report"):
     QUERIES[_name] = QUERIES.pop(_name + "_query")
