@@ -107,7 +107,11 @@ def test_stored_grid_is_read_in_place(spark, tmp_path):
     # The cells of short ranges are scanned once, and nothing is exchanged between scan and join.
     fine = [b for b in prepared.bits if b not in prepared.broadcast_bits()]
     hits = R._distinct_hits(spark.createDataFrame([(1,)], "_ip bigint"), prepared, "_ip", fine)
-    plan = plan_of(hits)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for a table that is really large
+    try:
+        plan = plan_of(hits)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("FileScan") == 1 and "Bucketed: true" in plan
     lines = plan.splitlines()
     scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
