@@ -1,4 +1,5 @@
 import gzip
+from dataclasses import replace
 
 import pytest
 from conftest import no_nested_loops_or_python
@@ -223,3 +224,13 @@ def test_repeated_ids_in_a_stream(spark, tmp_path):
     kept = streaming.drop_repeated_ids(parsed, F.timestamp_seconds(F.col("at").cast("bigint")), "1 hour")
     streaming.write_stream(kept, str(tmp_path / "o"), str(tmp_path / "s"), once=True).awaitTermination()
     assert sorted(r._id for r in spark.read.parquet(str(tmp_path / "o")).collect()) == ["a", "b"]
+
+
+def test_import_with_ranges_too_large_to_broadcast(spark, tables):
+    """The address that both lookups share is parsed once; the shuffled range join takes it too."""
+    options = ImportOptions(typed=True, geo_precision="ip", geo_columns={"ip": "ip"}, tor_column="ip")
+    large = replace(tables, ranges=replace(tables.ranges, max_rows=0))
+    assert large.ranges.broadcast_bits() != list(large.ranges.bits)
+    lines = spark.createDataFrame([(line,) for line in LINES], "value string")
+    rows = [sorted(map(repr, import_lines(lines, CFG, options, t).rows.collect())) for t in (tables, large)]
+    assert rows[0] == rows[1] and any("MOUNTAIN VIEW" in r for r in rows[1])

@@ -284,14 +284,14 @@ def _cell_join(probe: DataFrame, table: RangeTable, ip: str, bits: int, small: b
 
 def _distinct_hits(probe: DataFrame, table: RangeTable, ip: str, bits: list[int]) -> DataFrame:
     """Distinct addresses joined to their ranges by shuffle on (width, cell); a stored grid is
-    bucketed by these and stays where it is."""
-    addresses = probe.where(F.col(ip).isNotNull()).select(F.col(ip).alias("_address")).distinct()
+    bucketed by these and stays where it is. ``_asked_ip`` names no column a caller keeps a parsed address in."""
+    addresses = probe.where(F.col(ip).isNotNull()).select(F.col(ip).alias("_asked_ip")).distinct()
     keys = F.array(
-        *[F.struct(F.lit(b).alias("_bits"), F.shiftright(F.col("_address"), b).alias("_cell")) for b in bits]
+        *[F.struct(F.lit(b).alias("_bits"), F.shiftright(F.col("_asked_ip"), b).alias("_cell")) for b in bits]
     )
-    exploded = addresses.select("_address", F.explode(keys).alias("_key")).select("_address", "_key.*")
-    joined = exploded.join(table.cells, ["_bits", "_cell"]).where(F.col("_address").between(F.col("_lo"), F.col("_hi")))
-    return joined.select("_address", _answer(table).alias("_range_shuffled"))
+    exploded = addresses.select("_asked_ip", F.explode(keys).alias("_key")).select("_asked_ip", "_key.*")
+    joined = exploded.join(table.cells, ["_bits", "_cell"]).where(F.col("_asked_ip").between(F.col("_lo"), F.col("_hi")))
+    return joined.select("_asked_ip", _answer(table).alias("_range_shuffled"))
 
 
 def lookup_ip(
@@ -324,7 +324,7 @@ def lookup_ip(
             found.append(F.col(f"_range_{bits}"))
     elif shuffled:
         hits = _distinct_hits(probe.select(value.alias("_ip")), table, "_ip", shuffled)
-        keyed = keyed.join(hits, F.col("_ip") == F.col("_address"), "left")
+        keyed = keyed.join(hits, F.col("_ip") == F.col("_asked_ip"), "left")
         found.append(F.col("_range_shuffled"))
     if not found:
         found = [F.lit(None).cast(table.cells.select(_answer(table).alias("r")).schema["r"].dataType)]
