@@ -5,6 +5,7 @@ from conftest import no_nested_loops_or_python
 from pyspark.sql import functions as F
 
 from wayline.operators import places as P
+from wayline.operators import sizing
 from wayline.sources.tables import PLACE_COLUMNS
 
 # Known places, and decoys.
@@ -116,3 +117,19 @@ def test_null_keys_take_no_part(spark, index):
 def test_column_scope(spark, index):
     assert one(spark, index, {"place_name": "york england"})["zip_code"] == "YO1"
     assert one(spark, index, {"place_name": "york england"}, scope="column")["zip_code"] is None
+
+
+def test_a_large_table_from_one_file_is_spread(spark, tmp_path, monkeypatch):
+    """One small file is one task, and so was all that its rows grow into."""
+    monkeypatch.setattr(sizing.spread, "__kwdefaults__", {**sizing.spread.__kwdefaults__, "rows": 100})
+    none = [F.lit(None).cast("string").alias(c) for c in PLACE_COLUMNS[3:9]]
+    name, zero = F.lit("SAME PLACE").alias("place_name"), [F.lit(0.0).alias(c) for c in PLACE_COLUMNS[9:]]
+    key = F.col("id").cast("string")
+    table = spark.range(1000).select(F.lit("ES").alias("country_code"), key.alias("zip_code"), name, *none, *zero, F.col("id").alias("row_id"))
+    table.coalesce(1).write.parquet(str(tmp_path / "places"))
+    index = P.place_index(spark.read.parquet(str(tmp_path / "places")))
+    held = [r.n for r in index.postings.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    total = sum(held)
+    assert len(held) >= 8 and max(held) <= total / 4
+    assert index.frequency.where("term = '*:same'").first().n == 1000
+    assert P.place_rows(table.limit(50).coalesce(1)).rdd.getNumPartitions() == 1

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from wayline.functions.text import words
 from wayline.operators.answers import AnswerStore
 from wayline.operators.first_match import SALTS, attach, first_match
-from wayline.operators.sizing import is_small
+from wayline.operators.sizing import is_small, spread
 from wayline.operators.union_match import first_match_of_union, subsets
 from wayline.scratch import stored
 from wayline.sources.tables import PLACE_COLUMNS
@@ -55,8 +55,11 @@ def _column_terms(column: str) -> Column:
 
 
 def place_rows(places: DataFrame, columns: tuple[str, ...] = PLACE_COLUMNS) -> DataFrame:
-    """Add the distinct ``terms`` of each row; numbers are indexed as text."""
-    return places.withColumn("terms", F.array_distinct(F.concat(*[_column_terms(c) for c in columns])))
+    """Add the distinct ``terms`` of each row; numbers are indexed as text.
+
+    A row grows into dozens of postings, so the rows of a large table are spread first.
+    """
+    return spread(places, *places.columns).withColumn("terms", F.array_distinct(F.concat(*[_column_terms(c) for c in columns])))
 
 
 def place_postings(rows: DataFrame) -> DataFrame:
