@@ -1,7 +1,7 @@
 import sqlite3
 
 import pytest
-from conftest import no_nested_loops_or_python
+from conftest import no_nested_loops_or_python, plan_of
 from pyspark.sql import functions as F
 
 from wayline.operators import places as P
@@ -132,4 +132,6 @@ def test_a_large_table_from_one_file_is_spread(spark, tmp_path, monkeypatch):
     total = sum(held)
     assert len(held) >= 8 and max(held) <= total / 4
     assert index.frequency.where("term = '*:same'").first().n == 1000
+    plan = plan_of(index.postings)
+    assert "translate" not in plan[plan.index("Exchange"):]  # words are split after the rows are spread, and once
     assert P.place_rows(table.limit(50).coalesce(1)).rdd.getNumPartitions() == 1

@@ -63,8 +63,12 @@ def place_rows(places: DataFrame, columns: tuple[str, ...] = PLACE_COLUMNS) -> D
 
 
 def place_postings(rows: DataFrame) -> DataFrame:
-    """One row per term and place."""
-    return rows.select(F.explode("terms").alias("term"), "row_id")
+    """One row per term and place.
+
+    An inner explode is planned with a filter on the terms, which would compute them once more, and
+    before the rows are spread.
+    """
+    return rows.select(F.explode_outer("terms").alias("term"), "row_id").where(F.col("term").isNotNull())
 
 
 def term_frequency(postings: DataFrame) -> DataFrame:
