@@ -413,6 +413,37 @@ def test_texts_of_no_known_language_go(spark):
     assert {r["doc_id"] for r in langid.known_language(docs, 0.0).collect()} == {i for i, *_ in data}
 
 
+def test_all_of_all_labelled_texts_is_learned(spark):
+    """The languages differ only behind the first 64 windows of their texts, and in several shards."""
+    ship(spark)
+    rng = np.random.default_rng(8)
+    words = {"en": ["the", "and", "with", "water", "stone"], "de": ["und", "nicht", "wasser", "stein", "kaum"]}
+    shared = ("0 12 345 6789 " * 2000)[: 64 * langid.WINDOW]
+    data = [(i, shared + " ".join(rng.choice(words[lang], 1500)), lang) for i, lang in enumerate(list(words) * 30)]
+    data += [(1000 + i, " ".join(rng.choice(words[lang], 30)), None) for i, lang in enumerate(list(words) * 20)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string").repartition(4)
+    reports = [{r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.language_report(docs).collect()} for _ in range(2)]
+    assert [reports[0][1000 + i][0] for i in range(40)] == list(words) * 20
+    assert reports[0] == reports[1]
+
+
+@pytest.mark.parametrize("shard", [langid.SHARD, 100])
+def test_shards_learn_together_and_every_score_sets_the_least(spark, monkeypatch, shard):
+    ship(spark)
+    monkeypatch.setattr(langid, "SHARD", shard)
+    rng = np.random.default_rng(9)
+    words = {"en": ["the", "and", "with", "water"], "de": ["und", "nicht", "schön", "über"]}
+    data = [(i, " ".join(rng.choice(words[lang], 60)), lang) for i, lang in enumerate(list(words) * 400)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+    net, least = langid.fit_known(docs)
+    apart = [r["text"].encode() for r in langid.labelled(docs).where("apart").collect()]
+    scores = np.sort(langid.language_scores(langid.Predictor(net), [t[:64] for t in apart if len(t) >= 64]))
+    exact = langid.MARGIN * scores[int(langid.SHARE * (len(scores) - 1))]
+    assert least[1 + langid.FLOORS.index(64)] == pytest.approx(exact, abs=2 / langid.BINS)
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, net).collect()}
+    assert sum(found[i] == lang for i, _, lang in data) >= 0.99 * len(data)
+
+
 def test_packing(docs, rows, empty):
     path = public_path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)

@@ -11,10 +11,16 @@ Defined cases: a text that is null or holds no letter is ``und`` with score 0, a
 every text if no labelled one exists; ties go to the language first in code-point order;
 repeated rows are predicted each; other columns are never inputs.
 
+Training sees every window of every labelled document outside the held-out fold. The documents
+are dealt by hash into rounds, and those of a round into shards of some :data:`SHARD` windows. A task
+takes gradient steps over its shard, from the parameters that the round began with; the mean of all
+tasks' parameters, by their windows, begins the next round. Only parameters pass through the driver.
+Languages weigh inversely to their windows, within bounds. Reruns over the same rows agree.
+
 The filter :func:`known_language` trains the network with one more class, ``und``: texts made
 from the labelled ones that are of no language (see :func:`noise`). A text's score is its
-highest probability of a language. The least score a text must reach comes from every fifth
-of the labelled documents, which training leaves out: per length class they are cut to its
+highest probability of a language. The least score a text must reach comes from a fifth
+of the labelled documents, which training leaves out: per length class all of them are cut to its
 shortest length, and half of what all but :data:`SHARE` of them reach is asked for, so that
 documents of the known languages stay.
 """
@@ -26,7 +32,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayline.llm.text import narrow, pieces, utf8
@@ -34,17 +40,24 @@ from wayline.llm.text import narrow, pieces, utf8
 WINDOW = 256
 WIDTHS = (2, 4, 6)
 FILTERS = 8
-# Training takes at most this many labelled documents per language and windows per document.
-DOCUMENTS = 800
-WINDOWS = 4
-EPOCHS = 12
+# Windows of a shard, and over how many rounds the documents are dealt if one shard does not hold all.
+SHARD = 16_384
+ROUNDS = 4
+# A small corpus is gone over several times, until so many windows are seen.
+SEEN = 120_000
+PASSES = 12
+# Parameters of a round's shards are added up in so many groups before the driver adds those.
+GROUPS = 16
 UNKNOWN = "und"
-# Every fifth chosen document of a language sets the least scores, by length classes that
-# begin at these byte counts; a shorter text cannot be judged.
+# A fifth of the documents of each language that has some sets the least scores, by length classes
+# that begin at these byte counts; a shorter text cannot be judged.
 EVERY = 5
+FEW = 20
 FLOORS = (4, 8, 16, 32, 64, 128, 256)
 SHARE = 0.005
 MARGIN = 0.5
+# Steps in which least scores are measured.
+BINS = 65_536
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _SYMBOLS = ("0123456789abcdef", _LETTERS, _LETTERS.upper() + _LETTERS + "0123456789+/", "".join(map(chr, range(33, 127))))
 # Greek, Cyrillic, Hebrew, Arabic, Devanagari, Thai, Kana, Han, Hangul.
@@ -80,27 +93,25 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[bytes], labels: list[str], seed: int = 5) -> Network:
-    """Fit the network by stochastic gradient steps with momentum-free Adagrad."""
-    languages = tuple(sorted(set(labels)))
+def begin(languages: int, seed: int = 5) -> list[np.ndarray]:
+    """Parameters to start from (filters, softmax weights, bias), and their sums of squared gradients."""
     rng = np.random.default_rng(seed)
-    x, y = [], []
-    for text, label in zip(texts, labels):
-        w, _ = windows(text)
-        x.append(w[rng.permutation(len(w))[:WINDOWS]])
-        y += [languages.index(label)] * len(x[-1])
-    x, y = np.concatenate(x), np.array(y)
-    filters = [rng.normal(0, 0.1, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS]
-    weight = rng.normal(0, 0.3, (FILTERS * len(WIDTHS), len(languages))).astype(np.float32)
-    bias = np.zeros(len(languages), dtype=np.float32)
-    params = [*filters, weight, bias]
-    sums = [np.full_like(p, 1e-6) for p in params]
+    params = [rng.normal(0, 0.1, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS]
+    params.append(rng.normal(0, 0.3, (FILTERS * len(WIDTHS), languages)).astype(np.float32))
+    params.append(np.zeros(languages, dtype=np.float32))
+    return [*params, *[np.full_like(p, 1e-6) for p in params]]
+
+
+def descend(state: list[np.ndarray], x: np.ndarray, y: np.ndarray, weights: np.ndarray, passes: int, rng: np.random.Generator) -> None:
+    """Stochastic gradient steps with momentum-free Adagrad over the windows ``x``, in place."""
+    params, sums = state[: len(state) // 2], state[len(state) // 2 :]
+    *filters, weight, bias = params
 
     def step(i: int, grad: np.ndarray, rate: float) -> None:
         sums[i] += grad * grad
         params[i] -= rate * grad / np.sqrt(sums[i])
 
-    for _ in range(EPOCHS):
+    for _ in range(passes):
         order = rng.permutation(len(x))
         for start in range(0, len(order), 64):
             rows = order[start : start + 64]
@@ -114,7 +125,7 @@ def train(texts: list[bytes], labels: list[str], seed: int = 5) -> Network:
             hidden = np.concatenate(tops, axis=1)
             error = _softmax(hidden @ weight + bias)
             error[np.arange(len(rows)), y[rows]] -= 1
-            error /= len(rows)
+            error *= weights[y[rows], None] / len(rows)
             back = (error @ weight.T) * (hidden > 0)
             step(len(filters), hidden.T @ error, 0.1)
             step(len(filters) + 1, error.sum(axis=0), 0.1)
@@ -125,7 +136,6 @@ def train(texts: list[bytes], labels: list[str], seed: int = 5) -> Network:
                     byte = np.take_along_axis(bx, places[i] + j, axis=1)
                     np.add.at(grad[j], (byte, np.arange(FILTERS)), part)
                 step(i, grad, 0.05)
-    return Network(languages, tuple(filters), weight, bias)
 
 
 class Predictor:
@@ -164,30 +174,116 @@ class Predictor:
         return sums / np.bincount(owner, weights=size)[:, None]
 
 
-def _chosen(docs: DataFrame) -> list[Row]:
-    """A bounded, repeatable choice of labelled documents outside the held-out fold.
+def labelled(docs: DataFrame) -> DataFrame:
+    """Documents to learn from: labelled, with a letter, outside the held-out fold."""
+    rows = narrow(docs, "doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
+    return rows.select(
+        "doc_id", "text", "lang", F.xxhash64(F.lit(11), "doc_id").alias("order"),
+        F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(ROUNDS)).alias("round"),
+        (F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(EVERY)) == 0).alias("apart"),
+    ).where(F.col("text").rlike(r"\p{L}"))
 
-    Per language the :data:`DOCUMENTS` documents with the lowest hash, of each at most the
-    first 64 windows.
-    """
-    labelled = narrow(docs, "doc_id", "text", "lang").where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~F.coalesce(held_out(F.col("doc_id")), F.lit(False))
-    ).withColumn("order", F.xxhash64(F.lit(11), "doc_id"))
-    chosen = labelled.select("doc_id", "lang", "order").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    ).where(F.col("rank") <= DOCUMENTS)
-    last = chosen.groupBy("lang").agg(F.max("order").alias("last"))
-    return labelled.join(F.broadcast(last), "lang").where("order <= last").select(
-        "lang", "order", F.substring("text", 1, 64 * WINDOW).alias("text")
-    ).orderBy("lang", "order", "text").collect()
+
+def _counted(rows: DataFrame) -> dict[tuple[str, bool], tuple[int, int]]:
+    """Documents and windows by language and by whether they set the least scores."""
+    size = F.greatest(F.ceil(F.octet_length("text") / WINDOW), F.lit(1))
+    found = rows.groupBy("lang", "apart").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("windows"))
+    return {(r["lang"], r["apart"]): (r["n"], r["windows"]) for r in found.collect()}
+
+
+def _to_bytes(state: list[np.ndarray], kind: type) -> bytes:
+    return np.concatenate([a.ravel() for a in state]).astype(kind).tobytes()
+
+
+def _from_values(values: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
+    cuts = np.cumsum([a.size for a in like])[:-1]
+    return [part.astype(np.float32).reshape(a.shape) for part, a in zip(np.split(values, cuts), like)]
+
+
+def _learn(
+    state: list[np.ndarray], languages: tuple[str, ...], weights: np.ndarray, passes: int, noisy: bool
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Gradient steps over a shard: its windows, and the sum of the state it ends with over them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {name: i for i, name in enumerate(languages)}
+        mine, seen = [a.copy() for a in state], 0
+        x: list[np.ndarray] = []
+        y: list[np.ndarray] = []
+
+        def take() -> None:
+            nonlocal seen
+            if x:
+                bx = np.concatenate(x)
+                descend(mine, bx, np.concatenate(y), weights, passes, np.random.default_rng(seen))
+                seen += len(bx)
+                x.clear()
+                y.clear()
+
+        def add(text: bytes, label: str) -> None:
+            x.append(windows(text)[0])
+            y.append(np.full(len(x[-1]), number[label]))
+
+        held = 0
+        for batch in pieces(batches):
+            for text, lang, order in zip(utf8(batch, "text"), batch.column("lang").to_pylist(), batch.column("order").to_pylist()):
+                add(text, lang)
+                if noisy and order & 1:
+                    add(noise(text.decode(), order >> 1 & 3, np.random.default_rng(order & (1 << 63) - 1)).encode(), UNKNOWN)
+                held += len(text)
+                if held > 3 * SHARD * WINDOW:  # a shard is dealt by documents and may be larger than meant
+                    take()
+                    held = 0
+        take()
+        if seen:
+            summed = [a.astype(np.float64) * seen for a in mine]
+            yield pa.record_batch({"n": pa.array([seen], pa.int64()), "state": pa.array([_to_bytes(summed, np.float64)], pa.binary())})
+
+    return run
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """One group's windows and summed states; in the order of their shards, so that reruns agree."""
+    table = table.sort_by("shard")
+    total = sum(np.frombuffer(value.as_py(), dtype=np.float64) for value in table.column("state"))
+    return pa.table({
+        "group": table.column("group")[:1], "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()),
+        "state": pa.array([total.tobytes()], pa.binary()),
+    })
+
+
+def train(rows: DataFrame, sizes: dict[str, int], noisy: bool = False) -> Network:
+    """Fit the network on all ``rows`` of :func:`labelled`; ``sizes`` tells the windows of each language."""
+    sizes = dict(sizes)
+    total = sum(sizes.values())
+    if noisy:
+        sizes[UNKNOWN] = sizes.get(UNKNOWN, 0) + max(1, total // 2)
+    languages = tuple(sorted(sizes))
+    weights = np.array([np.clip(sum(sizes.values()) / len(sizes) / max(1, sizes[name]), 0.25, 4) for name in languages], dtype=np.float32)
+    passes = int(np.clip(-(-SEEN // max(1, total)), 1, PASSES))
+    rounds = ROUNDS if total > SHARD else 1
+    state = begin(len(languages))
+    for k in range(rounds):
+        part = rows.where(F.col("round") == k) if rounds > 1 else rows
+        shards = -(-total // (SHARD * rounds))
+        dealt = part.select("text", "lang", "order", F.xxhash64(F.lit(19), "doc_id", "text").alias("deal")).repartition(shards, "deal")
+        learned = dealt.sortWithinPartitions("order", "deal", "lang").mapInArrow(_learn(state, languages, weights, passes, noisy), "n bigint, state binary")
+        grouped = learned.select("n", "state", F.spark_partition_id().alias("shard")).withColumn("group", F.pmod("shard", F.lit(GROUPS)))
+        found = sorted(grouped.groupBy("group").applyInArrow(_added, "group int, n bigint, state binary").collect(), key=lambda r: r["group"])
+        if found:
+            mean = sum(np.frombuffer(r["state"], dtype=np.float64) for r in found) / sum(r["n"] for r in found)
+            state = _from_values(mean, state)
+    params = state[: len(state) // 2]
+    return Network(languages, tuple(params[:-2]), params[-2], params[-1])
 
 
 def fit(docs: DataFrame) -> Network | None:
-    """Train on the chosen documents; None without any."""
-    rows = _chosen(docs)
-    if not rows:
-        return None
-    return train([r["text"].encode() for r in rows], [r["lang"] for r in rows])
+    """Train on all labelled documents outside the held-out fold; None without any."""
+    rows = labelled(docs)
+    sizes: dict[str, int] = {}
+    for (lang, _), (_, size) in _counted(rows).items():
+        sizes[lang] = sizes.get(lang, 0) + size
+    return train(rows, sizes) if sizes else None
 
 
 def noise(text: str, kind: int, rng: np.random.Generator) -> str:
@@ -210,38 +306,54 @@ def language_scores(predictor: Predictor, texts: list[bytes]) -> np.ndarray:
     return found.max(axis=1, initial=0.0)
 
 
-def least_scores(net: Network, texts: list[bytes]) -> np.ndarray:
-    """Score that a text must reach, by length class; class 0 is shorter than all :data:`FLOORS`."""
-    predictor, least = Predictor(net), [0.0]
-    for floor in FLOORS:
-        cut = [t[:floor] for t in texts if len(t) >= floor]
-        least.append(MARGIN * np.quantile(language_scores(predictor, cut), SHARE, method="lower") if cut else least[-1])
+def least_scores(net: Network, rows: DataFrame) -> np.ndarray:
+    """Score that a text must reach, by length class; class 0 is shorter than all :data:`FLOORS`.
+
+    All ``rows`` are scored; scores are counted in :data:`BINS` steps, so the quantile is exact to a step.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predictor = Predictor(net)
+        for batch in pieces(batches):
+            texts = utf8(batch, "text")
+            for k, floor in enumerate(FLOORS):
+                cut = [t[:floor] for t in texts if len(t) >= floor]
+                if cut:
+                    steps = np.minimum(language_scores(predictor, cut) * BINS, BINS - 1).astype(np.int32)
+                    yield pa.record_batch({"k": pa.array(np.full(len(cut), k, dtype=np.int32)), "step": pa.array(steps)})
+
+    counts = rows.select("text").mapInArrow(run, "k int, step int").groupBy("k", "step").agg(F.count(F.lit(1)).alias("n"))
+    upto = counts.select(
+        "k", "step", F.sum("n").over(Window.partitionBy("k").orderBy("step")).alias("upto"),
+        F.sum("n").over(Window.partitionBy("k")).alias("all"),
+    )
+    lowest = upto.where(F.col("upto") > F.floor((F.col("all") - 1) * SHARE)).groupBy("k").agg(F.min("step").alias("step"))
+    found = {r["k"]: r["step"] / BINS for r in lowest.collect()}  # one row per length class
+    least = [0.0]
+    for k in range(len(FLOORS)):
+        least.append(MARGIN * found[k] if k in found else least[-1])
     return np.array(least)
 
 
-def fit_known(docs: DataFrame, seed: int = 7) -> tuple[Network, np.ndarray] | None:
+def fit_known(docs: DataFrame) -> tuple[Network, np.ndarray] | None:
     """A network that also knows noise, and the least scores; None without labelled documents.
 
-    Where no language has :data:`EVERY` documents the training documents set the scores.
+    Every labelled document outside the held-out fold either trains the network or, in languages
+    of :data:`FEW` documents and more, a fifth of them by hash, sets the least scores. Where no
+    language has so many the training documents set the scores.
     """
-    rows = _chosen(docs)
-    if not rows:
+    rows = labelled(docs)
+    counted = _counted(rows)
+    if not counted:
         return None
-    rng = np.random.default_rng(seed)
-    ranks: dict[str, int] = {}
-    texts, labels, apart = [], [], []
-    for r in rows:
-        rank = ranks[r["lang"]] = ranks.get(r["lang"], 0) + 1
-        if rank % EVERY == 0:
-            apart.append((r["text"].encode(), r["lang"]))
-            continue
-        texts.append(r["text"].encode())
-        labels.append(r["lang"])
-        if rank % 2:
-            texts.append(noise(r["text"][: WINDOWS * WINDOW], rank // 2 % 4, rng).encode())
-            labels.append(UNKNOWN)
-    net = train(texts, labels)
-    measured = [t for t, lang in apart or zip(texts, labels) if lang != UNKNOWN]
+    names = {lang for lang, _ in counted}
+    many = sorted(lang for lang in names if sum(counted.get((lang, part), (0, 0))[0] for part in (False, True)) >= FEW)
+    apart = F.col("apart") & F.col("lang").isin(many) if many else F.lit(False)
+    sizes = {
+        lang: counted.get((lang, False), (0, 0))[1] + (0 if lang in many else counted.get((lang, True), (0, 0))[1]) for lang in names
+    }
+    net = train(rows.where(~apart), sizes, noisy=True)
+    measured = rows.where((apart if many else F.lit(True)) & (F.col("lang") != UNKNOWN))
     return net, least_scores(net, measured)
 
 
