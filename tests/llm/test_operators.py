@@ -263,6 +263,24 @@ def test_lines_within_one_edit(docs, rows):
         assert found[i]["dropped_lines"] == ",".join(map(str, gone.get(i, []))), i
 
 
+def test_lines_split_words_once(docs):
+    text = line_dedup.document_lines(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("lower(") == 1
+
+
+def test_variant_names_follow_from_each_other(spark):
+    long = [f"w{i}" for i in range(40)]
+    lines = [long, long[:17] + long[18:], long[:17] + ["x"] + long[18:], long[1:] + long[:1], ["a", "a", "b", "a", "a"]]
+    words = spark.createDataFrame([(i, w) for i, w in enumerate(lines)], "i int, words array<string>")
+    named = words.select("i", *line_dedup._names(words["words"]))
+    found = {r["i"]: r for r in named.select("i", line_dedup._xor(named["stays"]).alias("own"), line_dedup._deleted().alias("names")).collect()}
+    assert [len(found[i]["names"]) for i in range(5)] == [40, 39, 40, 40, 5]
+    assert found[0]["names"][17] == found[1]["own"] == found[2]["names"][17]
+    assert len({*found[0]["names"], *found[3]["names"], found[0]["own"], found[3]["own"]}) == 81  # both lose the same word
+    # Equal neighbours give one variant each.
+    assert found[4]["names"][0] == found[4]["names"][1] != found[4]["names"][2]
+
+
 def test_paragraphs_repeat_across_documents(spark):
     ship(spark)
     passage = prose(20, 60, 60)

@@ -40,20 +40,24 @@ def _place() -> Column:
 
 
 def _words(line: Column) -> Column:
-    return F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), "")
 
 
 def _hash(words: Column) -> Column:
-    return F.xxhash64(F.array_join(words, " "))
+    return F.xxhash64(words)
 
 
 def _hash2(words: Column) -> Column:
-    return F.xxhash64(F.lit(31), F.array_join(words, " "))
+    return F.xxhash64(F.lit(31), words)
 
 
 def _split_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, line_no, words`` of every line; ``row`` hashes the whole text."""
+    """``doc_id, row, line_no, words`` of every line that has words; ``row`` hashes the whole text.
+
+    A filter on the words themselves would be planned below them, and split each line once more.
+    """
     lines = narrow(docs, "doc_id", "text").select("doc_id", _row().alias("row"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    lines = lines.where(F.col("line").rlike(WORD))
     return lines.select("doc_id", "row", "line_no", _words(F.col("line")).alias("words"))
 
 
@@ -66,8 +70,8 @@ def _half_keys(words: Column) -> Column:
     n = F.size(words)
     keys = []
     for size in (F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")):
-        keys.append(F.xxhash64(F.lit("first"), size, F.array_join(F.slice(words, F.lit(1), size), " ")))
-        keys.append(F.xxhash64(F.lit("last"), size, F.array_join(F.slice(words, n - size + 1, size), " ")))
+        keys.append(F.xxhash64(F.lit("first"), size, F.slice(words, F.lit(1), size)))
+        keys.append(F.xxhash64(F.lit("last"), size, F.slice(words, n - size + 1, size)))
     return F.array_distinct(F.array(*keys))
 
 
@@ -76,7 +80,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
     ``ends`` holds the half keys of lines long enough for neighbours.
     """
-    lines = _split_lines(docs).where(F.size("words") > 0)
+    lines = _split_lines(docs)
     ends = F.when(F.size("words") >= SHORT, _half_keys(F.col("words"))).otherwise(F.array().cast("array<bigint>"))
     return lines.select("doc_id", "row", "line_no", _hash(F.col("words")).alias("h"), _hash2(F.col("words")).alias("h2"), ends.alias("ends"))
 
@@ -101,18 +105,37 @@ def _able_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
     return lines.join(places, same).select("h", "h2", "place", "words").dropDuplicates(["h", "h2"])
 
 
+def _names(words: Column) -> list[Column]:
+    """Hashes of each word with its place, and with the place before, where it moves if an earlier word goes."""
+    return [
+        F.transform(words, lambda w, i: F.xxhash64(w, i)).alias("stays"),
+        F.transform(words, lambda w, i: F.xxhash64(w, i - 1)).alias("moves"),
+    ]
+
+
+def _xor(hashes: Column) -> Column:
+    return F.aggregate(hashes, F.lit(0).cast("bigint"), lambda x, y: x.bitwiseXOR(y))
+
+
+def _deleted() -> Column:
+    """Names of a line's variants, by the place of the word that goes.
+
+    A name is the exclusive or of the hashes of words with places, so each follows from the one
+    before it, in which the word at one place moves and the next one goes.
+    """
+    n = F.size("stays")
+    rest = F.slice("moves", F.lit(2), n)
+    steps = F.zip_with(F.slice("stays", F.lit(1), n - 1), rest, lambda x, y: x.bitwiseXOR(y))
+    return F.aggregate(steps, F.array(_xor(rest)), lambda names, step: F.concat(names, F.array(F.element_at(names, -1).bitwiseXOR(step))))
+
+
 def _near_pairs(able: DataFrame) -> DataFrame:
     """``h, h2, w, w2``: a line and an earlier one that shares a variant with it."""
-    # A variant is named by the hashes of its words.
-    able = able.withColumn("hs", F.transform("words", lambda w: F.xxhash64(w)))
-    n = F.size("hs")
-    deleted = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(i.alias("at"), F.xxhash64(F.concat(F.slice("hs", F.lit(1), i), F.slice("hs", i + 2, n))).alias("v")),
-    )
+    named = able.select("h", "h2", "place", *_names(F.col("words")))
+    deleted = F.transform(_deleted(), lambda v, i: F.struct(i.alias("at"), v.alias("v")))
     # A variant without position is the line itself.
-    itself = F.array(F.struct(F.lit(-1).alias("at"), F.xxhash64("hs").alias("v")))
-    variants = able.select("h", "h2", "place", F.explode(F.concat(deleted, itself)).alias("d")).select("h", "h2", "place", "d.at", "d.v")
+    itself = F.array(F.struct(F.lit(-1).alias("at"), _xor(F.col("stays")).alias("v")))
+    variants = named.select("h", "h2", "place", F.explode(F.concat(deleted, itself)).alias("d")).select("h", "h2", "place", "d.at", "d.v")
     variants = stored(variants, "line_variants")
     line = F.struct("place", "h", "h2")
     # Earliest line per variant and position; per variant the line itself, and the earliest other.
