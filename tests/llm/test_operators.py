@@ -491,6 +491,11 @@ def test_hilbert_curve_visits_neighbours():
     assert packing.document_key(b"", WordHashes()) == 0
 
 
+def test_token_files_are_decoded_and_checked_in_one_python_step(docs):
+    text = token_files.encoded_documents(docs, public_path("word_bpe_49k.json"), "words", 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("MapInArrow") == 1
+
+
 def test_pipeline(spark, rows, tmp_path):
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))

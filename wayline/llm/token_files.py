@@ -237,7 +237,9 @@ def document_index(spark: SparkSession, path: str) -> DataFrame:
         "shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("shard_start")
     )
     starts = segments.join(shards, "shard").select("shard", "segment", (F.col("before") + F.col("shard_start")).alias("at"))
-    rows = read_token_files(spark, path).mapInArrow(_checksums, "doc_id bigint, shard int, segment int, within bigint, n_tokens bigint, ids_crc32 bigint")
+    # Decoded and checked in one step: a second one would be another worker to each task, and the ids would pass
+    # through the JVM in between.
+    rows = spark.read.schema(SEGMENTS).parquet(path).mapInArrow(_indexed, "doc_id bigint, shard int, segment int, within bigint, n_tokens bigint, ids_crc32 bigint")
     return rows.join(starts, ["shard", "segment"]).select(
         "doc_id", (F.col("at") + F.col("within")).alias("start"), "n_tokens", "ids_crc32"
     )
@@ -249,6 +251,10 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(batch.schema.get_field_index("ids"), "ids_crc32", crc)
 
 
+def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _checksums(_documents(batches))
+
+
 def encoded_documents(docs: DataFrame, tokenizer: str, split: str, end_id: int) -> DataFrame:
     """Write the corpus to the shared folder and index it from its files."""
     path = shared_folder(docs.sparkSession, f"token_files/{uuid.uuid4().hex}")

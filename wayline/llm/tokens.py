@@ -78,7 +78,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         known = self.known
         split = [self._pieces(t) for t in texts]
-        missing = {p for s in split for p in s if p not in known}
+        missing = set(chain.from_iterable(split)).difference(known)
         self._learn(missing)
         ids = [b"".join(map(known.__getitem__, s)) for s in split]
         for piece in missing:
