@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayline.llm.components import components
+from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
 
 # Similarity as a fraction of whole numbers, so that comparisons are exact.
@@ -46,17 +47,59 @@ def needed(a: Column, b: Column) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose sets (``node``, ``items``) are similar.
+    """The pairs (``a``, ``b``; stored) whose sets (``node``, ``items``) are similar.
 
     The second node's set joins first: a node that meets many is ``a``, the smallest of a
-    block, and is joined last, where adaptive execution splits its rows.
+    block, and is joined last, where adaptive execution splits its rows. Only sets of nodes
+    that stand on a side move there, by a measured broadcast of their names; where sets have a
+    ``sketch``, only those of pairs that may be similar by these.
     """
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("items_b"))
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("items_a"))
+    if "sketch" in sets.columns:
+        pairs = stored(_met(pairs, sets, "sketch").where(_may_be_similar()).select("a", "b"), "sketched_pairs")
     both = F.size(F.array_intersect("items_a", "items_b"))
     union = F.size("items_a") + F.size("items_b") - both
-    met = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a")
-    return met.where(both * 100 >= union * PERCENT).select("a", "b").distinct()
+    return _met(pairs, sets, "items").where(both * 100 >= union * PERCENT).select("a", "b").distinct()
+
+
+def _met(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """Pairs with a column of the sets on either side (``_a``, ``_b``)."""
+    def side(name: str) -> DataFrame:
+        asked = pairs.select(F.col(name).alias("node")).distinct()
+        wanted = sets.select("node", column).join(hinted(asked, is_small(asked)), "node", "left_semi")
+        return wanted.select(F.col("node").alias(name), F.col(column).alias(f"{column}_{name}")).hint("merge")
+
+    return pairs.join(side("b"), "b").join(side("a"), "a")
+
+
+def sketch(items: np.ndarray) -> np.ndarray:
+    """How many items (64-bit hashes) lie in each of some equal ranges: a power of two of them, half the
+    items or more.
+
+    Two sets share no more than the sum of the lesser counts, which bounds their similarity from
+    a tenth of their bytes. Empty, which bounds nothing, where a count does not fit.
+    """
+    bits = max(int(len(items) - 1).bit_length() - 1, 1)
+    counts = np.bincount((items >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.int8) if counts.max() < 128 else np.empty(0, dtype=np.int8)
+
+
+def _may_be_similar() -> Column:
+    """Whether sets of these sketches can be similar; similar sets have as many ranges, or twice as many."""
+    def at(counts: str, i: Column) -> Column:
+        return F.get(counts, i).cast("int")
+
+    def ranges(counts: str, other: str) -> Column:
+        halved = F.transform(F.sequence(F.lit(0), F.size(other) - 1), lambda i: at(counts, 2 * i) + at(counts, 2 * i + 1))
+        return F.when(F.size(counts) > F.size(other), halved).otherwise(F.col(counts).cast("array<int>"))
+
+    def total(counts: Column) -> Column:
+        return F.aggregate(counts, F.lit(0), lambda x, n: x + n)
+
+    a, b = "sketch_a", "sketch_b"
+    most = total(F.zip_with(ranges(a, b), ranges(b, a), lambda x, y: F.least(x, y)))
+    least = needed(total(F.col(a).cast("array<int>")), total(F.col(b).cast("array<int>")))
+    known = (F.size(a) > 0) & (F.size(b) > 0) & (F.size(a) <= 2 * F.size(b)) & (F.size(b) <= 2 * F.size(a))
+    return F.when(known, most >= least).otherwise(F.lit(True))
 
 
 def linked(pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -72,17 +115,20 @@ def linked(pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], D
 def linked_sets(
     pairs: DataFrame, blocks: DataFrame, sets_of: Callable[[DataFrame], DataFrame]
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Like :func:`linked`, and the stored sets of all nodes given."""
+    """Like :func:`linked`, and the stored sets of all nodes that met another.
+
+    Sets are made and written when their node first meets another: most nodes of a block may
+    meet none that sizes and rests allow.
+    """
     pairs = stored(pairs.select("a", "b").distinct(), "link_pairs")
     blocks = stored(blocks.select("block", "node", "size", "rest"), "link_blocks")
-    heads = blocks.groupBy("block").agg(F.min(F.struct("node", "size")).alias("head"))
+    heads = blocks.groupBy("block").agg(F.min(F.struct("node", "size", "rest")).alias("head"))
     star = blocks.join(heads, "block").where(
-        (F.col("node") != F.col("head.node")) & similar_sizes(F.col("size"), F.col("head.size"))
+        (F.col("node") != F.col("head.node")) & _may_link(F.col("size"), F.col("rest"), F.col("head.size"), F.col("head.rest"))
     ).select(F.col("head.node").alias("a"), F.col("node").alias("b"))
     star = stored(star.distinct().join(pairs, ["a", "b"], "left_anti"), "link_stars")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(blocks.select("node")).distinct()
-    sets = stored(sets_of(nodes), "link_sets")
     tested = pairs.unionByName(star)
+    sets = _grown(None, tested, sets_of)
     links = stored(verified(tested, sets), "links_first")
     found = components(links)
     if blocks.isEmpty():
@@ -93,16 +139,27 @@ def linked_sets(
         met = stored(_headed(mixed, turn).join(tested, ["a", "b"], "left_anti"), "link_heads")
         if met.isEmpty():
             break
+        sets = _grown(sets, met, sets_of)
         more = stored(verified(met, sets), "links_headed")
         tested, links, found = tested.unionByName(met), links.unionByName(more), _merged(found, more)
     found = stored(found, "link_components")
     rest = stored(_across(_mixed(blocks, found)).join(tested, ["a", "b"], "left_anti"), "links_across")
     if rest.isEmpty():
         return links, found, sets
+    sets = _grown(sets, rest, sets_of)
     more = stored(verified(rest, sets), "links_more")
     return links.unionByName(more), _merged(found, more), sets
 
 
+def _grown(sets: DataFrame | None, pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stored sets, with those of the nodes of these pairs that are not among them yet."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    if sets is None:
+        return stored(sets_of(stored(nodes, "link_nodes")), "link_sets")
+    new = stored(nodes.join(sets.select("node"), "node", "left_anti"), "link_nodes")
+    return sets if new.isEmpty() else sets.unionByName(stored(sets_of(new), "link_sets"))
+
+
 def similar_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
     """Whether each set of ``first`` is similar to each of ``second`` (distinct items each)."""
     sizes = [np.array([len(x) for x in part]) for part in (first, second)]
@@ -163,7 +220,9 @@ def degrees(found: DataFrame, sets: DataFrame) -> DataFrame:
     meets = placed.select("node", "component", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with")).select(
         "node", "component", "chunk", F.least("chunk", "with").alias("p"), F.greatest("chunk", "with").alias("q")
     )
-    rows = meets.join(sets, "node").select("component", "p", "q", "node", "chunk", (F.col("p") == F.col("q")).alias("one"), "items")
+    # The sets, which are large, stay where they are till then if the meetings measure small.
+    meets = stored(meets, "link_meetings")
+    rows = sets.join(hinted(meets, is_small(meets)), "node").select("component", "p", "q", "node", "chunk", (F.col("p") == F.col("q")).alias("one"), "items")
     counts = rows.groupBy("component", "p", "q").applyInArrow(_degrees, "node bigint, links bigint")
     return counts.groupBy("node").agg(F.sum("links").alias("n_links"))
 

@@ -29,8 +29,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayline.llm.linking import degrees, linked_sets, needed, similar_sizes
-from wayline.llm.text import WordHashes, as_longs, list_array, narrow, pieces, shingles, utf8
+from wayline.llm.linking import degrees, linked_sets, needed, similar_sizes, sketch
+from wayline.llm.text import as_longs, list_array, narrow, pieces, shingle_sets, utf8
 from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
 
@@ -45,7 +45,7 @@ CROWDED = 4096
 
 
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, held, count = WordHashes(), [], 0
+    held, count = [], 0
 
     def report() -> pa.RecordBatch:
         values, n = np.unique(np.concatenate(held), return_counts=True)
@@ -53,10 +53,9 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.record_batch({"shingle": pa.array(as_longs(values[often])), "n": pa.array(n[often], pa.int64())})
 
     for batch in pieces(batches):
-        for text in utf8(batch, "text"):
-            if text:
-                held.append(shingles(text, hashes))
-                count += len(held[-1])
+        found = shingle_sets(utf8(batch, "text"))
+        held += found
+        count += sum(map(len, found))
         if count >= COUNTED:
             yield report()
             held, count = [], 0
@@ -93,13 +92,12 @@ def _prefixes(frequent: np.ndarray, uncrowded: int) -> Callable[[Iterator[pa.Rec
     """Prefix of each text, given once per task and group; ``crowded`` is where crowded shingles begin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, given = WordHashes(), set()
+        given = set()
         by_value = np.argsort(frequent)
         values = frequent[by_value]
         for batch in pieces(batches):
             sizes, nodes, groups, prefixes, crowded = [], [], [], [], []
-            for text in utf8(batch, "text"):
-                items = shingles(text or b"", hashes)
+            for items in shingle_sets(utf8(batch, "text")):
                 rank = np.zeros(len(items), dtype=np.int64)
                 if len(values):
                     at = np.minimum(np.searchsorted(values, items), len(values) - 1)
@@ -121,14 +119,14 @@ def _prefixes(frequent: np.ndarray, uncrowded: int) -> Callable[[Iterator[pa.Rec
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     for batch in pieces(batches):
-        items = [shingles(t or b"", hashes) for t in utf8(batch, "text")]
+        items = shingle_sets(utf8(batch, "text"))
         # A text of the same hash may have another node.
         own = [node == _node(i) for node, i in zip(batch.column("node").to_pylist(), items)]
         yield pa.record_batch({
             "node": batch.column("node").filter(pa.array(own)),
             "items": list_array([as_longs(i) for i, mine in zip(items, own) if mine], pa.int64()),
+            "sketch": list_array([sketch(i) for i, mine in zip(items, own) if mine], pa.int8()),
         })
 
 
@@ -203,7 +201,7 @@ def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         wanted = stored(texts.join(nodes, "node", "left_semi"), "wanted")
         same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("t") == F.col("of_text"))
         met = rows.join(hinted(wanted, is_small(wanted)), same)
-        return met.select("node", "text").mapInArrow(_sets, "node bigint, items array<bigint>")
+        return met.select("node", "text").mapInArrow(_sets, "node bigint, items array<bigint>, sketch array<tinyint>")
 
     _, found, sets = linked_sets(member_pairs, spread.unionByName(own).unionByName(met), sets_of)
     return prefixes, stored(found, "found_components"), sets
