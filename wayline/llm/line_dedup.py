@@ -88,11 +88,13 @@ def document_lines(docs: DataFrame) -> DataFrame:
 def _able_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
     """``h, h2, place, words`` of the distinct lines that share a half with another one.
 
-    Their words are read again from the documents they first stand in.
+    Half keys move with no more than a hash of their line. Words are read again from the
+    documents that the lines first stand in.
     """
-    keys = first.select("h", "h2", "place", F.explode("ends").alias("key"))
-    often = keys.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high").select("key")
-    able = keys.join(often, "key", "left_semi").select("h", "h2", "place").distinct()
+    keys = first.select("h", F.explode("ends").alias("key"))
+    often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("key")
+    able = stored(keys.join(often, "key", "left_semi").select("h").distinct(), "able_hashes")
+    able = first.select("h", "h2", "place").join(hinted(able, is_small(able)), "h", "left_semi")
     places = able.select("h", "h2", "place", F.col("place.doc").alias("_doc"), F.col("place.row").alias("_r"), F.col("place.line_no").alias("_no"))
     places = stored(places, "able_places")
     wanted = stored(places.groupBy("_doc", "_r").agg(F.collect_set("_no").alias("_nos")), "able_documents")
@@ -129,14 +131,25 @@ def _deleted() -> Column:
     return F.aggregate(steps, F.array(_xor(rest)), lambda names, step: F.concat(names, F.array(F.element_at(names, -1).bitwiseXOR(step))))
 
 
-def _near_pairs(able: DataFrame) -> DataFrame:
-    """``h, h2, w, w2``: a line and an earlier one that shares a variant with it."""
-    named = able.select("h", "h2", "place", *_names(F.col("words")))
+def _shared_variants(able: DataFrame) -> DataFrame:
+    """``h, at, v``: the variants of lines that another variant equals.
+
+    Most equal no other, so all move with no more than a hash of their line, and only these meet its place.
+    """
+    named = able.select("h", *_names(F.col("words")))
     deleted = F.transform(_deleted(), lambda v, i: F.struct(i.alias("at"), v.alias("v")))
     # A variant without position is the line itself.
     itself = F.array(F.struct(F.lit(-1).alias("at"), _xor(F.col("stays")).alias("v")))
-    variants = named.select("h", "h2", "place", F.explode(F.concat(deleted, itself)).alias("d")).select("h", "h2", "place", "d.at", "d.v")
-    variants = stored(variants, "line_variants")
+    variants = stored(named.select("h", F.explode(F.concat(deleted, itself)).alias("d")).select("h", "d.at", "d.v"), "line_variants")
+    often = variants.groupBy("v").agg(F.count(F.lit(1)).alias("equal")).where("equal > 1").select("v")
+    often = stored(often, "shared_variant_names")
+    return variants.join(hinted(often, is_small(often)), "v", "left_semi").select("h", "at", "v")
+
+
+def _near_pairs(able: DataFrame) -> DataFrame:
+    """``h, h2, w, w2``: a line and an earlier one that shares a variant with it."""
+    variants = _shared_variants(able).join(able.select("h", "h2", "place"), "h").select("h", "h2", "place", "at", "v")
+    variants = stored(variants, "shared_variants")
     line = F.struct("place", "h", "h2")
     # Earliest line per variant and position; per variant the line itself, and the earliest other.
     by_place = stored(variants.groupBy("v", "at").agg(F.min(line).alias("first"), F.count(F.lit(1)).alias("lines")), "variant_firsts")
@@ -165,14 +178,18 @@ def within_one_edit(a: Column, b: Column) -> Column:
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """``doc_id, row, line_no`` of every line that repeats an earlier one."""
     lines = stored(document_lines(docs), "lines")
-    first = stored(lines.groupBy("h", "h2").agg(F.min(_place()).alias("place"), F.first("ends").alias("ends")), "first_lines")
+    first = stored(
+        lines.groupBy("h", "h2").agg(F.min(_place()).alias("place"), F.first("ends").alias("ends"), F.count(F.lit(1)).alias("copies")), "first_lines"
+    )
     able = stored(_able_lines(docs, first), "able_lines")
     pairs = stored(_near_pairs(able), "near_pairs")
     words = able.select("h", "h2", "words")
     met = pairs.join(words, ["h", "h2"]).join(words.select(F.col("h").alias("w"), F.col("h2").alias("w2"), F.col("words").alias("witness")), ["w", "w2"])
-    near = met.where(within_one_edit(F.col("words"), F.col("witness"))).select("h", "h2", F.lit(True).alias("near")).distinct()
-    judged = first.join(near, ["h", "h2"], "left").select("h", "h2", "place", F.coalesce("near", F.lit(False)).alias("near"))
-    found = lines.select("doc_id", "row", "line_no", "h", "h2").join(judged, ["h", "h2"])
+    near = stored(met.where(within_one_edit(F.col("words"), F.col("witness"))).select("h", "h2", F.lit(True).alias("near")).distinct(), "near_lines")
+    judged = first.select("h", "h2", "place", "copies").join(hinted(near, is_small(near)), ["h", "h2"], "left")
+    # A line that stands once and is near no other is no repeat.
+    judged = stored(judged.where("near or copies > 1").select("h", "h2", "place", F.coalesce("near", F.lit(False)).alias("near")), "judged_lines")
+    found = lines.select("doc_id", "row", "line_no", "h", "h2").join(hinted(judged, is_small(judged)), ["h", "h2"])
     return found.where(F.col("near") | (F.col("place") < _place())).select("doc_id", "row", "line_no").distinct()
 
 
