@@ -1,33 +1,38 @@
-"""Tables that operators write and shuffle hold few rows beside those that meet others."""
+"""What operators write, shuffle and hold is little beside their input."""
 
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from wayline.llm import line_dedup
+from wayline.llm import line_dedup, ngram_join, substring_dedup
 from wayline.llm.deploy import ship
+from wayline.llm.text import WordHashes, mixed
 
 SCHEMA = "doc_id bigint, text string"
 
 
 @pytest.fixture
-def rows_stored(monkeypatch):
-    """Rows of each stored table, by its name."""
+def watched(monkeypatch):
+    """Each stored table and its plan, by its name."""
     def watch(module):
-        found, keep = {}, module.stored
+        found, plans, keep = {}, {}, module.stored
 
         def stored(df, name):
-            out = keep(df, name)
-            found[name] = out
+            found[name] = out = keep(df, name)
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
             return out
 
         monkeypatch.setattr(module, "stored", stored)
-        return found
+        return found, plans
 
     return watch
 
 
-def test_lines_place_only_variants_that_meet(spark, rows_stored):
+def test_lines_place_only_variants_that_meet(spark, watched):
     ship(spark)
-    found = rows_stored(line_dedup)
+    found, _ = watched(line_dedup)
     # All lines share their first half; two are one word apart, and one stands twice.
     lines = ["a b c d e " + " ".join(f"{w}{i}" for w in "vwxyz") for i in range(40)]
     lines += [lines[3].replace("x3", "other"), lines[5]]
@@ -37,3 +42,20 @@ def test_lines_place_only_variants_that_meet(spark, rows_stored):
     assert found["line_variants"].count() == 41 * 11
     assert found["variant_firsts"].count() <= 2
     assert found["judged_lines"].count() == 2
+
+
+def test_counting_shingles_holds_them_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 40_000 if k % 2 else 1 << 62, 1000, dtype=np.uint64)) for k in range(512)]
+    monkeypatch.setattr(ngram_join, "shingle_sets", lambda texts: sets[: len(texts)])
+    monkeypatch.setattr(ngram_join, "COUNTED", 500_000)
+    batches = [pa.record_batch({"text": pa.array(["x"] * 512)})]
+    list(ngram_join._frequent(iter(batches)))
+    tracemalloc.start()
+    found = list(ngram_join._frequent(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    values, n = np.unique(np.concatenate(sets), return_counts=True)
+    assert [b.column("shingle").to_pylist() for b in found] == [values[n >= 4].view(np.int64).tolist()]
+    assert found[0].column("n").to_pylist() == n[n >= 4].tolist()
+    assert peak < 2 * 8 * sum(map(len, sets))

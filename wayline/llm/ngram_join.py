@@ -44,22 +44,37 @@ LARGE = 32
 CROWDED = 4096
 
 
+def _often(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values that stand :data:`OFTEN` times or more, ascending, and how often; sorts ``held`` in place.
+
+    Beside ``held`` only these are held.
+    """
+    held.sort()
+    last = held[OFTEN - 1 :]
+    values = last[last == held[: len(last)]]
+    values = values[np.diff(values, prepend=values[:1] ^ np.uint64(1)) != 0]
+    return values, np.searchsorted(held, values, side="right") - np.searchsorted(held, values)
+
+
 def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, count = [], 0
+    held, count = np.empty(COUNTED, dtype=np.uint64), 0
 
     def report() -> pa.RecordBatch:
-        values, n = np.unique(np.concatenate(held), return_counts=True)
-        often = n >= OFTEN
-        return pa.record_batch({"shingle": pa.array(as_longs(values[often])), "n": pa.array(n[often], pa.int64())})
+        values, n = _often(held[:count])
+        return pa.record_batch({"shingle": pa.array(as_longs(values)), "n": pa.array(n, pa.int64())})
 
     for batch in pieces(batches):
         found = shingle_sets(utf8(batch, "text"))
-        held += found
-        count += sum(map(len, found))
+        more = sum(map(len, found))
+        if count + more > len(held):
+            held.resize(count + more, refcheck=False)
+        for items in found:
+            held[count : count + len(items)] = items
+            count += len(items)
         if count >= COUNTED:
             yield report()
-            held, count = [], 0
-    if held:
+            count = 0
+    if count:
         yield report()
 
 
