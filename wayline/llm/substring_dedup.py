@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayline.llm.linking import linked, needed, similar_sizes
-from wayline.llm.text import SHINGLE, WordHashes, as_longs, list_array, mixed, narrow, pieces, shingles, utf8, windows
+from wayline.llm.text import SHINGLE, WordHashes, as_longs, list_array, mixed, narrow, pieces, shingle_sets, utf8, windows, word_hashes
 from wayline.operators.sizing import hinted, is_small
 from wayline.scratch import stored
 
@@ -64,15 +64,17 @@ def bands(items: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return keys
 
 
-def line_shingles(lines: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def line_shingles(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingles of lines of five words or more, one line after the other, and where each begins."""
-    lengths = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
+    h, begins = word_hashes(lines)
+    lengths = np.diff(begins)
     if not len(lines):
         return np.empty(0, dtype=np.uint64), lengths
-    found, whole = windows(hashes.of([w for words in lines for w in words]))
-    line = np.repeat(np.arange(len(lines)), lengths)[:whole]
+    found, whole = windows(h)
+    of_word = np.repeat(np.arange(len(lines)), lengths)
+    line = of_word[:whole]
     # Windows that run on into the next line are no shingles.
-    inside = line == np.repeat(np.arange(len(lines)), lengths)[SHINGLE - 1 :]
+    inside = line == of_word[SHINGLE - 1 :]
     found, line = found[inside], line[inside]
     order = np.lexsort((found, line))
     found, line = found[order], line[order]
@@ -82,65 +84,97 @@ def line_shingles(lines: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndar
     return found, np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
 
 
-def paragraphs(text: bytes) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Number of the first line, count of lines and words of each paragraph."""
-    first, joined = 0, []
-    for no, line in enumerate([*text.split(b"\n"), b""]):
-        words = line.lower().split()
-        if words and len(words) < LEAST:
+def paragraphs(text: bytes) -> Iterator[tuple[int, int, int, bytes]]:
+    """Number of the first line, count of lines, count of words and text of each paragraph."""
+    first, joined, lines = 0, 0, text.split(b"\n")
+    for no, line in enumerate([*lines, b""]):
+        words = len(line.split())
+        if words and words < LEAST:
             first = first if joined else no
             joined += words
             continue
-        if len(joined) >= LEAST:
-            yield first, no - first, joined
+        if joined >= LEAST:
+            yield first, no - first, joined, b"\n".join(lines[first:no])
         if words:
-            yield no, 1, words
-        joined = []
-
-
-def passages(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the passages of a text begin, given the hashes of its words, and the names of the passages."""
-    if len(h) < LEAST:
+            yield no, 1, words, line
+        joined = 0
+
+
+def passages(h: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the passages of texts begin, and their names, given the hashes of the words of all texts, one
+    after the other, and where each text ends."""
+    begins = np.concatenate([[0], ends[:-1]])
+    long = ends - begins >= LEAST
+    # Of the last words no window of ANCHORS words with three each begins in the same text.
+    windows_of = np.where(long, ends - begins - ANCHORS - 1, 0)
+    if not windows_of.any():
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+    inside = np.repeat(begins - np.cumsum(windows_of) + windows_of, windows_of) + np.arange(windows_of.sum())
     three = mixed(h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + h[2:] * np.uint64(0x165667B19E3779F9))
-    met = np.lib.stride_tricks.sliding_window_view(three, ANCHORS)
-    at = np.unique(met.argmin(axis=1) + np.arange(len(met)))
-    at = at[at + LEAST <= len(h)]
+    least, anchor = three[inside], inside.copy()
+    for k in range(1, ANCHORS):
+        other = three[inside + k]
+        less = other < least
+        least = np.where(less, other, least)
+        anchor = np.where(less, inside + k, anchor)
+    # Anchors rise with their windows.
+    at = anchor[np.r_[True, anchor[1:] != anchor[:-1]]]
+    at = at[at + LEAST <= ends[np.searchsorted(ends, at, side="right")]]
     names = np.zeros(len(at), dtype=np.uint64)
     for k in range(LEAST):
         names = mixed(names ^ h[at + k])
     return at, names
 
 
-PASSAGES = "doc_id bigint, row bigint, line_ends array<int>, starts array<int>, names array<bigint>"
+PASSAGES = "doc_id bigint, row bigint, spot bigint, line_ends array<int>, starts array<int>, names array<bigint>"
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages of each text; those of so many words that make a group are looked for side by side."""
     hashes = WordHashes()
     for batch in pieces(batches):
-        ends, starts, names = [], [], []
-        for text in utf8(batch, "text"):
+        line_ends: list[np.ndarray] = []
+        words: list[bytes] = []
+        ends: list[int] = []
+        first = 0
+
+        def report(upto: int) -> pa.RecordBatch:
+            nonlocal line_ends, words, ends, first
+            until = np.array(ends, dtype=np.int64)
+            at, names = passages(hashes.of(words), until)
+            cuts = np.searchsorted(at, until)
+            froms, begins = np.concatenate([[0], cuts[:-1]]), np.concatenate([[0], until[:-1]])
+            some = batch.slice(first, upto - first)
+            found = pa.record_batch({
+                "doc_id": some.column("doc_id"), "row": some.column("row"), "spot": some.column("spot"),
+                "line_ends": list_array(line_ends, pa.int32()),
+                "starts": list_array([(at[a:b] - begin).astype(np.int32) for a, b, begin in zip(froms, cuts, begins)], pa.int32()),
+                "names": list_array([as_longs(names[a:b]) for a, b in zip(froms, cuts)], pa.int64()),
+            })
+            line_ends, words, ends, first = [], [], [], upto
+            return found
+
+        for number, text in enumerate(utf8(batch, "text"), 1):
             lines = [line.split() for line in (text or b"").lower().split(b"\n")]
-            at, found = passages(hashes.of([w for words in lines for w in words]))
-            ends.append(np.cumsum([len(words) for words in lines]).astype(np.int32))
-            starts.append(at.astype(np.int32))
-            names.append(as_longs(found))
-        yield pa.record_batch({
-            "doc_id": batch.column("doc_id"), "row": batch.column("row"), "line_ends": list_array(ends, pa.int32()),
-            "starts": list_array(starts, pa.int32()), "names": list_array(names, pa.int64()),
-        })
+            line_ends.append(np.cumsum([len(line) for line in lines]).astype(np.int32))
+            for line in lines:
+                words += line
+            ends.append(len(words))
+            if len(words) >= WORDS_AT_ONCE:
+                yield report(number)
+        if ends:
+            yield report(batch.num_rows)
 
 
 PARAGRAPHS = "doc_id bigint, row bigint, line_no int, line_count int, node bigint, n bigint, bands array<bigint>"
 
 
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
     places: list[tuple[int | None, int, int, int]] = []
-    lines: list[list[bytes]] = []
+    lines: list[bytes] = []
 
     def report() -> pa.RecordBatch:
-        items, starts = line_shingles(lines, hashes)
+        items, starts = line_shingles(lines)
         ends = np.append(starts[1:], len(items)) if len(starts) else starts
         docs, texts, nos, counts = zip(*places) if places else ((), (), (), ())
         batch = pa.record_batch({
@@ -156,10 +190,10 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
     for batch in pieces(batches):
         for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), utf8(batch, "text")):
-            for no, count, words in paragraphs(text or b""):
+            for no, count, words, line in paragraphs(text or b""):
                 places.append((doc, row, no, count))
-                lines.append(words)
-                held += len(words)
+                lines.append(line)
+                held += words
                 if held >= WORDS_AT_ONCE:
                     yield report()
                     held = 0
@@ -172,17 +206,14 @@ def _node(items: np.ndarray) -> int:
 
 def _paragraph_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets of the wanted paragraphs (``nos``: first line and count) of each text."""
-    hashes = WordHashes()
     for batch in pieces(batches):
-        nodes, items = [], []
+        wanted = []
         for text, nos in zip(utf8(batch, "text"), batch.column("nos").to_pylist()):
             lines = (text or b"").split(b"\n")
-            for no, count in {(at["line_no"], at["line_count"]) for at in nos}:
-                if no < len(lines):
-                    found = shingles(b"\n".join(lines[no : no + count]), hashes)
-                    nodes.append(_node(found))
-                    items.append(as_longs(found))
-        yield pa.record_batch({"node": pa.array(nodes, pa.int64()), "items": list_array(items, pa.int64())})
+            wanted += [b"\n".join(lines[no : no + count]) for no, count in {(at["line_no"], at["line_count"]) for at in nos} if no < len(lines)]
+        items = shingle_sets(wanted)
+        nodes = [_node(found) for found in items]
+        yield pa.record_batch({"node": pa.array(nodes, pa.int64()), "items": list_array([as_longs(found) for found in items], pa.int64())})
 
 
 def _place() -> Column:
@@ -194,12 +225,15 @@ def paragraph_clusters(docs: DataFrame) -> DataFrame:
     rows = narrow(docs, "doc_id", "text")
     found = stored(rows.withColumn("row", _row()).mapInArrow(_paragraphs, PARAGRAPHS), "paragraphs")
     distinct = stored(
-        found.groupBy("node").agg(F.min(_place()).alias("place"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")),
-        "distinct_paragraphs",
+        found.groupBy("node").agg(F.min(_place()).alias("place"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")), "distinct_paragraphs"
     )
-    buckets = distinct.select("node", "n", F.explode("bands").alias("band"))
-    counts = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
-    met = stored(buckets.join(counts, "band"), "paragraph_buckets")
+    # Bands move once, with no more than their node; those of different nodes stay.
+    of_band = Window.partitionBy("band")
+    buckets = found.select("node", F.explode("bands").alias("band"))
+    buckets = buckets.withColumn("low", F.min("node").over(of_band)).withColumn("high", F.max("node").over(of_band))
+    met = stored(buckets.where("low < high").select("node", "band").distinct(), "met_buckets")
+    counts = met.groupBy("band").agg(F.count(F.lit(1)).alias("nodes"))
+    met = stored(met.join(counts, "band").join(distinct.select("node", "n"), "node"), "paragraph_buckets")
     small = met.where(F.col("nodes") <= LARGE)
     x, y = small.alias("x"), small.alias("y")
     meets = (F.col("x.band") == F.col("y.band")) & (F.col("x.node") < F.col("y.node")) & similar_sizes(F.col("x.n"), F.col("y.n"))
@@ -265,30 +299,40 @@ def _lines(which: Column) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.when(which, lines)))))
 
 
+def _once(found: DataFrame) -> DataFrame:
+    """Of rows repeated in id and text one; the others are found by columns that are few bytes."""
+    spots = found.groupBy("doc_id", "row").agg(F.min("spot").alias("least"), F.max("spot").alias("most"))
+    twice = spots.where("least < most").select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "least")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")) & (F.col("spot") > F.col("least"))
+    others = stored(found.select("doc_id", "row", "spot").join(twice, same, "left_semi").select("spot"), "repeated_rows")
+    return found.join(hinted(others, is_small(others)), "spot", "left_anti")
+
+
 def repeated_passages(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """Per document its passages that repeat: ``_doc, _of, line_ends, goes, stays``, the latter where they begin.
 
     ``gone`` has the lines that go as paragraphs (``_doc, _of, _gone``).
     """
-    found = stored(rows.withColumn("row", _row()).mapInArrow(_passages, PASSAGES).dropDuplicates(["doc_id", "row"]), "passages")
-    each = found.select("doc_id", "row", F.explode(F.arrays_zip("starts", "names")).alias("p")).select(
-        "doc_id", "row", F.col("p.starts").alias("start"), F.col("p.names").alias("name")
+    rows = rows.withColumn("row", _row()).withColumn("spot", F.monotonically_increasing_id())
+    found = _once(stored(rows.mapInArrow(_passages, PASSAGES), "passages"))
+    each = found.select("spot", F.explode(F.arrays_zip("starts", "names")).alias("p")).select(
+        "spot", F.col("p.starts").alias("start"), F.col("p.names").alias("name")
     )
-    often = each.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("name").alias("of"))
-    again = each.join(often, F.col("name") == F.col("of")).groupBy("doc_id", "row").agg(F.collect_list(F.struct("start", "name")).alias("again"))
+    # Counted and listed after one shuffle, with no more than the place of their text.
+    met = each.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("name"))).where("n > 1")
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("row") == F.col("_of"))
     # The words of lines that go, as intervals of word numbers.
     before = lambda no: F.coalesce(F.get("line_ends", no - 1), F.lit(0))
     lost = F.transform("_gone", lambda no: F.struct(before(no).alias("first"), F.get("line_ends", no).alias("end")))
-    mine, its = F.col("doc_id").eqNullSafe(F.col("d")), F.col("row") == F.col("r")
-    placed = again.join(found.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "line_ends"), mine & its).drop("d", "r")
-    placed = placed.join(gone.select("_doc", "_of", "_gone"), same, "left")
-    placed = placed.withColumn("lost", F.when(F.size("_gone") > 0, lost)).select("doc_id", "row", F.explode("again").alias("p"), "lost")
-    touches = F.coalesce(F.exists("lost", lambda x: (x["first"] < F.col("p.start") + LEAST) & (x["end"] > F.col("p.start"))), F.lit(False))
-    place = F.struct(touches.alias("touches"), F.col("doc_id").isNull().alias("last"), "doc_id", "row", F.col("p.start").alias("start"))
-    placed = stored(placed.select(F.col("p.name").alias("name"), place.alias("place")), "passage_places")
-    firsts = placed.groupBy("name").agg(F.min("place").alias("first")).select(F.col("name").alias("of"), "first")
-    told = placed.join(firsts, F.col("name") == F.col("of")).select("place.doc_id", "place.row", "place.start", (F.col("place") == F.col("first")).alias("stay"))
+    texts = found.select("spot", "doc_id", "row", "line_ends").join(gone.select("_doc", "_of", "_gone"), same, "left")
+    texts = texts.select("spot", "doc_id", "row", F.when(F.size("_gone") > 0, lost).alias("lost"))
+    placed = met.select("spot", "start", "name").join(texts, "spot")
+    touches = F.coalesce(F.exists("lost", lambda x: (x["first"] < F.col("start") + LEAST) & (x["end"] > F.col("start"))), F.lit(False))
+    place = F.struct(touches.alias("touches"), F.col("doc_id").isNull().alias("last"), "doc_id", "row", "start")
+    placed = placed.select("name", place.alias("place"))
+    told = placed.withColumn("first", F.min("place").over(Window.partitionBy("name"))).select(
+        "place.doc_id", "place.row", "place.start", (F.col("place") == F.col("first")).alias("stay")
+    )
     told = told.groupBy("doc_id", "row").agg(
         F.collect_list(F.when(~F.col("stay"), F.col("start"))).alias("goes"), F.collect_list(F.when(F.col("stay"), F.col("start"))).alias("stays")
     )
